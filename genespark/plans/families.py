@@ -238,7 +238,7 @@ PAIRS = """
     , m as (select b.*, f.family from fx_busco b left join bf f on f.member = b.protein_id),
     one as (select busco_id, min(family) as family_rep from m group by 1
             having count(*) >= 2 and count(distinct family) = 1),
-    mrow as (select protein_id from fx_busco where cast(substr(protein_id, 2) as int) % 3 <> 0),
+    mrow as (select protein_id from fx_busco where cast(substr(protein_id, 2) as int) % 7 <> 0),
     reps as (select distinct family from bf where member in (select protein_id from mrow)),
     pairs as (
         select m.busco_id, m.species, family_rep, l.length,
@@ -262,7 +262,7 @@ def busco_pairs(t: Tables):
     fam = F.concat(F.lit("F"), F.when(F.substring("busco_id", 2, 9).cast("int") % 4 == 0, num).otherwise(
         F.substring("busco_id", 2, 9)))
     bf = b.where(num.cast("int") % 9 != 0).select(F.col("protein_id").alias("member"), fam.alias("family"))
-    rows = b.where(num.cast("int") % 3 != 0).select("protein_id")
+    rows = b.where(num.cast("int") % 7 != 0).select("protein_id")
     return FM.busco_presence(b, t.busco_lengths, bf, FM.family_presence(t.domain_hits), rows)
 
 
