@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from genespark.functions.exprs import count_if, ratio
 from genespark.operators.joins import split_join
+from genespark.operators.presence import band_sizes
 from genespark.operators.ordered import interval_union, values_at
 
 # A member list is written into one row only up to this size. Larger families
@@ -262,12 +263,11 @@ def score_controls(
     resolved: DataFrame, fam_presence: DataFrame, bands: DataFrame, min_frac: float = 0.75, other_max: float = 0.0
 ) -> DataFrame:
     """Family call and outcome (hit / miss / tn / fp / unresolved) per control."""
-    n_in = bands.agg(count_if(F.col("band") == "IN").alias("n")).scalar()
-    n_out = bands.agg(count_if(F.col("band") == "OUT").alias("n")).scalar()
+    n_in, n_out = band_sizes(bands)
     counts = fam_presence.select("family", "proteome").distinct().join(bands, "proteome", "left").groupBy(
         F.col("family").alias("resolved_family")).agg(
         count_if(F.col("band") == "IN").alias("_i"), count_if(F.col("band") == "OUT").alias("_o"))
-    frac = lambda c, n: F.when(n > 0, F.col(c) / n).otherwise(F.lit(0.0))
+    frac = lambda c, n: F.col(c) / n if n else F.lit(0.0)
     novel = (frac("_i", n_in) >= min_frac) & (frac("_o", n_out) <= other_max)
     out = resolved.join(counts, "resolved_family", "left").withColumn(
         "actual_call", F.when(F.col("_i").isNull(), "unresolved").when(novel, "novel").otherwise("not_novel"))
@@ -300,11 +300,10 @@ def ambiguous_families(
         F.count(F.lit(1)).alias("known"), F.countDistinct("source_proteome").alias("genomes")).where(
         F.col("known") > F.col("genomes"))
     fits = sized(members).where(F.col("size") <= max_members)
-    n_in = bands.agg(count_if(F.col("band") == "IN").alias("n")).scalar()
-    n_out = bands.agg(count_if(F.col("band") == "OUT").alias("n")).scalar()
+    n_in, n_out = band_sizes(bands)
     frac = fam_presence.select("family", "proteome").distinct().join(bands, "proteome").groupBy("family").agg(
         count_if(F.col("band") == "IN").alias("n_in"), count_if(F.col("band") == "OUT").alias("n_out"))
-    share = lambda c, n: F.when(n > 0, F.col(c) / n).otherwise(F.lit(0.0))
+    share = lambda c, n: F.col(c) / n if n else F.lit(0.0)
     return frac.where((share("n_in", n_in) >= min_frac) & (share("n_out", n_out) > other_max)).join(
         dup.select("family"), "family", "left_semi").join(fits.select("family", "size"), "family")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from genespark.functions.exprs import at_terminus, count_if, flag, ratio
 from genespark.operators.joins import overlap_semi, split_join
+from genespark.session import materialize
 from genespark.operators.ordered import average_rank, chunk_rows, median_within, running
 
 CLASSES = ["core", "soft_core", "shell", "cloud", "singleton", "nonrep_only", "absent"]
@@ -126,7 +127,7 @@ def best_rescue_positions(hits: DataFrame) -> DataFrame:
     return best.select("family", "short", "h.contig", "h.start")
 
 
-def _bin(count: Column, reps: Column, cuts: Sequence[float]) -> Column:
+def _bin(count: Column, reps: int, cuts: Sequence[float]) -> Column:
     core, soft, shell = cuts
     freq = count / reps
     return (F.when(count <= 1, "singleton").when(freq >= core, "core").when(freq >= soft, "soft_core")
@@ -142,23 +143,24 @@ def frequency_table(
     One conditional aggregate over the sparse cells; only representatives count.
     """
     is_in, rep = F.col("grp") == "IN", F.col("is_rep") == 1
-    size = lambda cond: strains.agg(count_if(cond).alias("n")).scalar()
-    n_in, n_out = size(is_in & rep), size((F.col("grp") == "OUT") & rep)
     is_out = F.col("grp") == "OUT"
+    size = strains.agg(count_if(is_in & rep).alias("i"), count_if(is_out & rep).alias("o")).first()
+    n_in, n_out = size["i"] or 0, size["o"] or 0
     counts = matrix.join(strains.select("short", "grp", "is_rep"), "short").groupBy("family").agg(
         count_if(is_in & rep).alias("c_in"), count_if(is_out & rep).alias("c_out"),
         count_if(is_in & ~rep).alias("x_in"), count_if(is_out & ~rep).alias("x_out"))
     t = families.select("family").join(counts, "family", "left").fillna(0)
     c = F.col
     in_any, out_any = (c("c_in") + c("x_in")) > 0, (c("c_out") + c("x_out")) > 0
-    bin_in = (F.when(c("c_in") >= 1, _bin(c("c_in"), n_in, cuts)).when(c("x_in") > 0, "nonrep_only")
+    binned = n_out >= out_min
+    bin_in = (F.when(c("c_in") >= 1, _bin(c("c_in"), max(n_in, 1), cuts)).when(c("x_in") > 0, "nonrep_only")
               .when(out_any, "outgroup_only").otherwise("absent"))
-    bin_out = (F.when(n_out < out_min, "-").when(c("c_out") >= 1, _bin(c("c_out"), n_out, cuts))
+    bin_out = (F.when(F.lit(not binned), "-").when(c("c_out") >= 1, _bin(c("c_out"), max(n_out, 1), cuts))
                .when(c("x_out") > 0, "nonrep_only").when(in_any, "ingroup_only").otherwise("absent"))
     return t.select(
-        "family", F.coalesce(ratio(c("c_in"), n_in), F.lit(0.0)).alias("frequency"), c("c_in").alias("strain_count"),
-        bin_in.alias("bin"), F.when(n_out >= out_min, c("c_out") / n_out).alias("frequency_out"),
-        F.when(n_out >= out_min, c("c_out")).alias("strain_count_out"), bin_out.alias("bin_out"))
+        "family", (c("c_in") / n_in if n_in else F.lit(0.0)).alias("frequency"), c("c_in").alias("strain_count"),
+        bin_in.alias("bin"), F.when(F.lit(binned), c("c_out") / max(n_out, 1)).alias("frequency_out"),
+        F.when(F.lit(binned), c("c_out")).alias("strain_count_out"), bin_out.alias("bin_out"))
 
 
 def class_overlap(freq: DataFrame) -> DataFrame:
@@ -174,10 +176,10 @@ def class_overlap(freq: DataFrame) -> DataFrame:
 
 def strain_classes(matrix: DataFrame, freq: DataFrame, strains: DataFrame) -> DataFrame:
     """Per strain, families present by the class of the strain's own group."""
-    use_out = freq.agg(F.max((F.col("bin_out") != "-").cast("int")).alias("m")).scalar()
     cells = split_join(matrix.select("family", "short"), freq.select("family", "bin", "bin_out"), ["family"], "left")
     cells = cells.join(strains.select("short", "grp"), "short")
-    label = F.when((F.col("grp") == "OUT") & (use_out == 1), F.col("bin_out")).otherwise(F.col("bin"))
+    # bin_out is "-" for every family when the outgroup is not binned
+    label = F.when((F.col("grp") == "OUT") & (F.col("bin_out") != "-"), F.col("bin_out")).otherwise(F.col("bin"))
     counts = cells.groupBy("short").agg(
         F.count(F.lit(1)).alias("n_families"), *[count_if(label == k).alias(k) for k in COUNTED])
     return strains.select("short", "grp", "is_rep").join(counts, "short", "left").fillna(0, ["n_families", *COUNTED])
@@ -187,8 +189,10 @@ def outlier_flags(
     rows: DataFrame, value: str = "singleton", group: str = "grp", multiplier: float = 0.6745, threshold: float = 3.5
 ) -> DataFrame:
     """Modified z per group from its representatives' median and MAD; null z when undefined."""
+    rows = materialize(rows)
     reps = rows.where(F.col("is_rep") == 1)
     med = median_within(reps, value, [group], "_med")
+    med = materialize(med)
     dev = reps.join(med, group).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
     mad = median_within(dev, "_dev", [group], "_mad").drop("n")
     z = F.when((F.col("n") >= 3) & (F.col("_mad") > 0), multiplier * (F.col(value) - F.col("_med")) / F.col("_mad"))
@@ -246,7 +250,7 @@ def assembly_stats(contigs: DataFrame) -> DataFrame:
 
 def spearman(rows: DataFrame, x: str, y: str, z: str) -> DataFrame:
     """Spearman rho of x and y, raw and with z held fixed; null when constant or n < 3."""
-    r = rows
+    r = materialize(rows.select(x, y, z))
     for c in (x, y, z):
         r = average_rank(r, c, out=f"_r_{c}")
     a, b, g = (f"_r_{c}" for c in (x, y, z))
@@ -325,7 +329,7 @@ def family_positions(genes: DataFrame, rescue: DataFrame | None = None) -> DataF
     if rescue is not None:
         rows = rows.unionByName(rescue.select(
             "short", "contig", "start", F.concat(F.lit("~"), "family").alias("id"), "family"))
-    order = [F.col("contig"), F.col("start"), F.col("id")]
+    order = [F.col("contig"), F.col("start"), F.col("id"), F.col("family")]
     run = running(chunk_rows(rows, ["short"], order), ["short"], order,
                   {"rank": ("sum", F.lit(1).cast("bigint"), True)})
     return run.where(F.col("family").isNotNull()).select(

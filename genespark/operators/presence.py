@@ -68,7 +68,7 @@ def compete(
     if queries is not None:
         judged = judged.join(queries.select(F.col("proteome").alias("query_proteome")), "query_proteome", "left_semi")
     partner = paralogs.select(F.col("protein_id").alias("query_id"), "paralog_id")
-    judged = split_join(judged, partner, ["query_id"], "left").withColumn("key", _scope_key(scope))
+    judged = split_join(judged, partner, ["query_id"], "left", hot_from=hits).withColumn("key", _scope_key(scope))
     judged = judged.join(best, ["query_proteome", "paralog_id", "key"], "left").drop("key")
     beaten = F.col("paralog_evalue") < F.col("evalue")
     rescued = F.lit(False)
@@ -133,10 +133,10 @@ def band_counts(cells: DataFrame, bands: DataFrame, keys=("source_proteome", "pr
         count_if(F.col("band") == "IN").alias("n_in"), count_if(F.col("band") == "OUT").alias("n_out"))
 
 
-def band_sizes(bands: DataFrame) -> tuple[Column, Column]:
-    """Genomes per band as scalar subqueries."""
-    return tuple(
-        bands.agg(count_if(F.col("band") == b).alias("n")).scalar() for b in ("IN", "OUT"))
+def band_sizes(bands: DataFrame) -> tuple[int, int]:
+    """Genomes per band: one row read from the sample sheet."""
+    row = bands.agg(*[count_if(F.col("band") == b).alias(b) for b in ("IN", "OUT")]).first()
+    return row["IN"] or 0, row["OUT"] or 0
 
 
 def candidates(
@@ -145,7 +145,7 @@ def candidates(
     """Fraction of the query group >= min_frac and of the other group <= other_max_frac."""
     size_in, size_out = band_sizes(bands)
     out = band_counts(cells, bands)
-    frac = lambda n, size: F.when(size > 0, n / size).otherwise(F.lit(0.0))
+    frac = lambda n, size: n / size if size else F.lit(0.0)
     out = out.withColumn("in_frac", frac(F.col("n_in"), size_in)).withColumn(
         "out_frac", frac(F.col("n_out"), size_out))
     mine, other = ("in_frac", "out_frac") if query_group == "IN" else ("out_frac", "in_frac")

@@ -72,7 +72,7 @@ VIEWS: dict[str, str] = {
                80 + (l_orderkey*7 + l_linenumber) % 21 as pident, 60 + (l_orderkey*11 + l_linenumber*3) % 41 as qcovs,
                l_quantity as bitscore, (l_orderkey*7919 + l_linenumber*104729 + 250) % 1500000 as sstart,
                (l_orderkey*7919 + l_linenumber*104729 + 250) % 1500000 + 600 as send,
-               concat('H', l_orderkey, '_', l_linenumber) as hit_id,
+               concat('H', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey) as hit_id,
                cast(concat('1e-', (l_orderkey*3 + l_linenumber) % 30) as double) as evalue,
                cast(1 + (l_orderkey*5) % 200 as bigint) as qstart,
                cast(1 + (l_orderkey*5) % 200 + 30 + (l_linenumber*41) % 120 as bigint) as qend
