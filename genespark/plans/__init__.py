@@ -4,7 +4,7 @@ import importlib
 
 from genespark.plans.registry import ORACLES, QUERIES
 
-MODULES = ("presence", "families", "pangenome")
+MODULES = ("presence", "families", "pangenome", "cooccurrence")
 
 for _name in MODULES:
     importlib.import_module(f"genespark.plans.{_name}")
