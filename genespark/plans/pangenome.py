@@ -330,6 +330,10 @@ RANKED = """
 
 
 def placed(t: Tables):
+    return t.once("placed", lambda: _placed(t))
+
+
+def _placed(t: Tables):
     some = genes(t).withColumn("family", F.when(F.col("start") % 3 != 0, F.col("family")))
     return G.family_positions(some, G.best_rescue_positions(G.qualifying_hits(t.genome_hits, 100, 90)))
 

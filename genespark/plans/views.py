@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from genespark.session import materialize
+
 BASE = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -77,6 +79,13 @@ VIEWS: dict[str, str] = {
                cast(1 + (l_orderkey*5) % 200 as bigint) as qstart,
                cast(1 + (l_orderkey*5) % 200 + 30 + (l_linenumber*41) % 120 as bigint) as qend
         from {lineitem}""",
+    # gene-cluster regions; every seventh on a strain that was not annotated
+    "fx_regions": """
+        select concat('Q', s_suppkey) as cluster_id, concat('S', s_suppkey) as short,
+               concat('ctg', s_suppkey % 3) as contig, concat('T', s_suppkey % 4) as type,
+               (s_suppkey*99991 + 30000) % 1400000 as start, (s_suppkey*99991 + 30000) % 1400000 + 40000 as stop,
+               case when s_suppkey % 7 = 0 then 0 else 1 end as testable
+        from {supplier}""",
     # protein -> family, some proteins in none
     "fx_members": """
         select concat('P', p_partkey) as member, concat('F', p_partkey % 200) as family
@@ -126,6 +135,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._made: dict[str, DataFrame] = {}
+
+    def once(self, name: str, make) -> DataFrame:
+        """Written intermediate that several steps of one query share."""
+        if name not in self._made:
+            self._made[name] = materialize(make())
+        return self._made[name]
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
