@@ -4,7 +4,7 @@ import importlib
 
 from genespark.plans.registry import ORACLES, QUERIES
 
-MODULES = ("presence", "families", "pangenome", "islands", "cooccurrence", "overlap")
+MODULES = ("presence", "families", "pangenome", "islands", "cooccurrence", "overlap", "sources")
 
 for _name in MODULES:
     importlib.import_module(f"genespark.plans.{_name}")
