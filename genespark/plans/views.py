@@ -79,6 +79,21 @@ VIEWS: dict[str, str] = {
                cast(1 + (l_orderkey*5) % 200 as bigint) as qstart,
                cast(1 + (l_orderkey*5) % 200 + 30 + (l_linenumber*41) % 120 as bigint) as qend
         from {lineitem}""",
+    "fx_dist": """
+        select concat('S', s_suppkey) as a, concat('S', s_suppkey + 1) as b,
+               cast((s_suppkey * 37) % 100 as double) as dist from {supplier}
+        union all
+        select concat('S', s_suppkey), concat('S', s_suppkey + 10), cast((s_suppkey * 53) % 100 as double) from {supplier}""",
+    # hits between proteins of one family, with some registered paralogs among them
+    "fx_family_hits": """
+        select concat('P', p_partkey) as query_id, concat('P', p_partkey + 200) as target_id,
+               cast(concat('1e-', (p_partkey * 7) % 12) as double) as evalue from {part}
+        union all
+        select concat('P', p_partkey), concat('P', p_partkey + 400),
+               cast(concat('1e-', (p_partkey * 5) % 9) as double) from {part}""",
+    "fx_family_paralogs": """
+        select concat('P', p_partkey) as protein_id, concat('P', p_partkey + 200) as paralog_id
+        from {part} where p_partkey % 4 = 0""",
     # gene-cluster regions; every seventh on a strain that was not annotated
     "fx_regions": """
         select concat('Q', s_suppkey) as cluster_id, concat('S', s_suppkey) as short,
