@@ -11,3 +11,9 @@ def shares(df: DataFrame, column: str) -> DataFrame:
     counts = df.groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("t")).scalar()
     return counts.select(F.lit(column).alias("what"), "label", "n", F.round(100 * F.col("n") / total, 1).alias("pct"))
+
+
+def label_counts(df: DataFrame, column: str, what: str) -> DataFrame:
+    """Rows per value of ``column``."""
+    return df.groupBy(F.col(column).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(what).alias("what"), "label", "n")
