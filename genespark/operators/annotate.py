@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.functions.ids import CLASS_ORDER, domain_class, gene_of_protein
+from genespark.operators.families import LIST_BOUND
 from genespark.operators.joins import split_join
 
 
@@ -19,9 +20,11 @@ def annotate(
 ) -> DataFrame:
     """Product and its source by priority model organism, domains, best database hit.
 
-    ``domains`` has one row per (protein_id, hit_order, domain): lists keep hit order.
+    ``domains`` has one row per (protein_id, hit_order, domain): lists keep hit order. A protein with
+    more than LIST_BOUND domains gets no list; its rows stay in ``domains``.
     """
-    lists = domains.groupBy("protein_id").agg(F.array_join(F.transform(
+    fits = domains.groupBy("protein_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= LIST_BOUND)
+    lists = domains.join(fits, "protein_id", "left_semi").groupBy("protein_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("hit_order", "domain"))), lambda s: s["domain"]), ",").alias("pfam_names"))
     m = model.select("source_proteome", "protein_id", "gene_name", F.col("product").alias("_mp"))
     out = proteins.join(m, ["source_proteome", "protein_id"], "left").join(lists, "protein_id", "left").join(
