@@ -142,18 +142,26 @@ def haplotypes(members: DataFrame, matrix: DataFrame, strains: DataFrame) -> Dat
 
 
 def display_strain(islands: DataFrame, members: DataFrame, positions: DataFrame, references: DataFrame) -> DataFrame:
-    """First reference strain that holds all members on one contig, else the example strain; then the span."""
+    """First reference strain that holds all members on one contig, else the example strain; then the span.
+
+    A reference contig can only qualify where it holds the island's rarest
+    member, so only those contigs are compared with the whole member set.
+    """
     size = members.groupBy("island_id").agg(F.count(F.lit(1)).alias("_n"))
-    cand = references.select("short", "priority").unionByName(
-        islands.select(F.col("example_strain").alias("short")).distinct().select(
-            "short", F.lit(2**31 - 1).alias("priority"))).groupBy("short").agg(F.min("priority").alias("priority"))
-    here = split_join(positions.join(cand, "short").select("short", "priority", "contig", "family", "start"), members,
-                      ["family"])
-    full = here.groupBy("island_id", "short", "priority", "contig").agg(
-        F.countDistinct("family").alias("_k"), F.min("start").alias("span_start"), F.max("start").alias("span_end"))
+    place = positions.select("short", "contig", "family", "start")
+    ref = place.join(references.select("short", "priority"), "short")
+    copies = ref.groupBy("family").agg(F.count(F.lit(1)).alias("_c"))
+    anchor = members.join(copies, "family", "left").groupBy("island_id").agg(
+        F.min_by("family", F.struct(F.coalesce("_c", F.lit(0)).alias("c"), "family")).alias("family"))
+    sites = split_join(ref.select("short", "contig", "priority", "family").distinct(), anchor, ["family"]).drop("family")
+    own = islands.select("island_id", F.col("example_strain").alias("short")).join(anchor, "island_id").join(
+        place.select("short", "contig", "family").distinct(), ["short", "family"])
+    sites = sites.unionByName(own.select("island_id", "short", "contig", F.lit(2**31 - 1).alias("priority")))
+    spans = place.groupBy("short", "contig", "family").agg(F.min("start").alias("a"), F.max("start").alias("b"))
+    full = sites.distinct().join(members, "island_id").join(spans, ["short", "contig", "family"]).groupBy(
+        "island_id", "short", "priority", "contig").agg(
+        F.count(F.lit(1)).alias("_k"), F.min("a").alias("span_start"), F.max("b").alias("span_end"))
     full = full.join(size, "island_id").where(F.col("_k") == F.col("_n"))
-    full = full.join(islands.select("island_id", "example_strain"), "island_id").where(
-        (F.col("priority") < 2**31 - 1) | (F.col("short") == F.col("example_strain")))
     best = full.groupBy("island_id").agg(F.min(F.struct(
         "priority", (F.col("span_end") - F.col("span_start")).alias("w"), "short", "contig", "span_start", "span_end"))
         .alias("b"))
