@@ -197,3 +197,28 @@ def column_copy(
     return want.join(best, ["island_id", "family"], "left").join(r, ["short", "family"], "left").select(
         "island_id", "family", F.coalesce("g.contig", "_rc").alias("contig"), F.coalesce("g.start", "_rs").alias("start"),
         F.when(F.col("g").isNotNull(), "gene").when(F.col("_rc").isNotNull(), "rescue").otherwise("none").alias("source"))
+
+
+def island_rows(
+    islands: DataFrame, shown: DataFrame, columns: DataFrame, copies: DataFrame, classes: DataFrame, groups: DataFrame
+) -> DataFrame:
+    """One row per island: ordered families with class and location per column, haplotype count.
+
+    Islands above LIST_BOUND columns keep null strings; ``columns`` and ``copies`` hold them in full.
+    """
+    from genespark.operators.families import LIST_BOUND
+
+    fits = columns.groupBy("island_id").agg(F.count(F.lit(1)).alias("n_columns"))
+    cell = columns.join(fits.where(F.col("n_columns") <= LIST_BOUND), "island_id", "left_semi").join(
+        copies.select("island_id", "family", "contig", "start"), ["island_id", "family"], "left").join(
+        classes, "family", "left")
+    item = F.struct("column", "family", F.coalesce("dominant_class", F.lit("unannotated")).alias("cls"),
+                    F.coalesce(F.concat_ws(":", "contig", "start"), F.lit("")).alias("loc"))
+    lists = cell.groupBy("island_id").agg(F.array_sort(F.collect_list(item)).alias("x"))
+    join = lambda f: F.array_join(F.transform("x", lambda s: s[f]), ",")
+    haps = groups.groupBy("island_id").agg(F.count(F.lit(1)).alias("n_haplotypes"))
+    return islands.select("island_id", "n_strains", "island_size").join(
+        shown.select("island_id", "display_strain", "span_contig", "span_start", "span_end"), "island_id").join(
+        fits, "island_id").join(lists, "island_id", "left").join(haps, "island_id", "left").select(
+        "island_id", "n_strains", "island_size", "display_strain", "span_contig", "span_start", "span_end", "n_columns",
+        join("family").alias("families"), join("cls").alias("classes"), join("loc").alias("locations"), "n_haplotypes")

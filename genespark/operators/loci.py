@@ -290,3 +290,17 @@ def dna_targets(rows: DataFrame, pairs: DataFrame, positions: DataFrame, cols: D
     n = F.col("u_end") - F.col("l_start") + 1
     return out.select(*ROW, "contig", F.col("l_start").alias("start"), F.col("u_end").alias("end"), F.when(n.isNull(), "unchecked").when(
         n < 50, "absent").otherwise("check").alias("status")).distinct()
+
+
+def locus_rows(
+    exemplar: DataFrame, cols: DataFrame, classes: DataFrame, ranks: DataFrame, bins: DataFrame, domain_class: DataFrame
+) -> DataFrame:
+    """One row per locus: exemplar span, ordered columns with bin and class, class counts and ranks."""
+    item = F.struct("col", "family", F.coalesce("bin", F.lit("-")).alias("bin"),
+                    F.coalesce("dominant_class", F.lit("unannotated")).alias("cls"))
+    lists = cols.join(bins.select("family", "bin"), "family", "left").join(domain_class, "family", "left").groupBy(
+        "locus_id").agg(F.array_sort(F.collect_list(item)).alias("x"))
+    join = lambda f: F.array_join(F.transform("x", lambda s: s[f]), ",")
+    n = classes.groupBy("locus_id").agg(*[count_if(F.col("row_class") == c).alias(f"n_{c}") for c in ("full", "partial", "empty")])
+    return exemplar.join(lists, "locus_id").join(n, "locus_id", "left").join(ranks, "locus_id", "left").withColumn(
+        "families", join("family")).withColumn("bins", join("bin")).withColumn("classes", join("cls")).drop("x")

@@ -25,8 +25,16 @@ def significant(hits: DataFrame, evalue: float = 1e-5) -> DataFrame:
     return hits.where(F.col("evalue") < evalue)
 
 
+# Coarse bands of the group labels.
+INGROUP_ROLES = ("IN", "DISCOVERY_TARGET")
+OUTGROUP_ROLES = ("OUT", "DISCOVERY_OUT", "NEAR_INGROUP", "BROAD_OUTGROUP")
+
+
 def banded(samples: DataFrame, in_groups=("IN",), out_groups=("OUT",)) -> DataFrame:
-    """Genome -> IN / OUT band; genomes of other groups are dropped."""
+    """Genome -> IN / OUT band; genomes of other groups are dropped.
+
+    The default is strict; pass INGROUP_ROLES and OUTGROUP_ROLES for the coarse bands.
+    """
     band = F.when(F.col("grp").isin(*in_groups), "IN").when(F.col("grp").isin(*out_groups), "OUT")
     return samples.select(F.col("short").alias("proteome"), band.alias("band")).where(F.col("band").isNotNull())
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Accepted aliases of the group labels.
-GROUP_ALIASES = {"INGROUP": "IN", "OUTGROUP": "OUT"}
+# Older spellings of the group labels.
+GROUP_ALIASES = {"TARGET": "DISCOVERY_TARGET", "DISC_OUT": "DISCOVERY_OUT", "NEAR_IN": "NEAR_INGROUP",
+                 "BROAD_OUT": "BROAD_OUTGROUP"}
 SAMPLE_COLUMNS = ["GROUP", "Species", "Strain", "Protein", "DNA", "Short", "TaxonGroup", "GFF3", "SourceDB",
                   "NCBI_TaxID", "Stratum"]
 STATES = ["present", "genome_only", "absent"]
@@ -20,7 +21,7 @@ def delimited(spark: SparkSession, paths, sep: str = "\t") -> DataFrame:
 def sample_sheet(df: DataFrame) -> DataFrame:
     """Trimmed cells, aliases resolved, missing optional columns blank, stratum label filled."""
     cell = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) if c in df.columns else F.lit("")
-    group = F.upper(cell("GROUP"))
+    group = cell("GROUP")
     alias = group
     for a, b in GROUP_ALIASES.items():
         alias = F.when(group == a, b).otherwise(alias)
@@ -98,9 +99,9 @@ def checked_regions(df: DataFrame, strains: DataFrame, shown: int = 20) -> DataF
 
 
 def controls(df: DataFrame) -> DataFrame:
-    """Control rows without placeholders (blank or TODO anchors, comment ids)."""
-    anchor = F.upper(F.trim(F.coalesce("anchor", F.lit(""))))
-    return df.where(~F.col("control_id").startswith("#") & (anchor != "") & ~anchor.startswith("TODO"))
+    """Control rows without template placeholders."""
+    anchor = F.coalesce("anchor", F.lit(""))
+    return df.where(~F.trim("control_id").startswith("EXAMPLE_") & ~anchor.contains("<") & ~anchor.contains(">"))
 
 
 def trait_violations(traits: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -148,3 +149,56 @@ def closure(edges: DataFrame) -> DataFrame:
     own = tips.select(F.col("tip").alias("node"), "tip")
     return reach.join(tips.withColumnRenamed("tip", "below"), "below", "left_semi").select(
         "node", F.col("below").alias("tip")).unionByName(own)
+
+
+def gene_names(df: DataFrame, gene: str, name: str, product: str) -> DataFrame:
+    """Gene id -> name and product; quotes are stripped and N/A is blank."""
+    cell = lambda c: F.trim(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), '^"+|"+$', ""))
+    known = lambda c: F.when(cell(c) == "N/A", "").otherwise(cell(c))
+    rows = df.select(cell(gene).alias("gene_key"), known(name).alias("gene_name"), known(product).alias("product"))
+    return rows.where(F.col("gene_key") != "").groupBy("gene_key").agg(
+        F.max(F.struct("gene_name", "product")).alias("r")).select("gene_key", "r.gene_name", "r.product")
+
+
+def header_field(headers: DataFrame, field: str) -> DataFrame:
+    """Protein id -> value of ``field=`` in its header."""
+    return headers.select("id", F.regexp_extract("header", rf"\b{field}=(\S+)", 1).alias("gene_key")).where(
+        F.col("gene_key") != "")
+
+
+# Ranks of the metadata table that make up a lineage, shallow to deep.
+LINEAGE = ["PHYLUM", "SUBPHYLUM", "CLASS", "SUBCLASS", "ORDER", "FAMILY", "GENUS"]
+
+
+def genome_files_to_pool(files: DataFrame, taxonomy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pool, unmatched) from genome file names ``Genus_species_strain.version`` and a taxonomy table.
+
+    ``files`` has basename and has_dna; a species without taxonomy or DNA goes to unmatched with a reason.
+    """
+    part = F.split("basename", "_")
+    species = F.concat_ws(" ", part[0], F.substring_index(F.get(part, F.lit(1)), ".", 1))
+    strain = F.substring_index(F.array_join(F.slice(part, 3, 1000), "_"), ".", 1)
+    rows = files.withColumn("species", F.when(F.size(part) >= 2, species)).withColumn("strain", strain).withColumn(
+        "_key", F.lower("species"))
+    cell = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
+    tax = taxonomy.select(F.lower(F.trim("SPECIES")).alias("_key"), F.concat_ws(
+        ";", F.lit("Fungi"), *[cell(c) for c in LINEAGE]).alias("lineage"))
+    tax = tax.groupBy("_key").agg(F.min("lineage").alias("lineage"))
+    rows = rows.join(tax, "_key", "left")
+    why = (F.when(F.col("species").isNull(), "unparseable filename").when(F.col("lineage").isNull(), "no taxonomy match")
+           .when(F.col("has_dna") != 1, "no matching DNA file"))
+    rows = rows.withColumn("reason", why)
+    return (rows.where(F.col("reason").isNull()).select("species", "strain", "basename", "lineage"),
+            rows.where(F.col("reason").isNotNull()).select("basename", "reason"))
+
+
+def metadata_to_pool(rows: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pool, missing) from a metadata table whose annotation folder is ``Species_strain``."""
+    name = F.regexp_replace(F.rtrim(F.regexp_replace(F.concat_ws("_", F.trim("SPECIES"), F.nullif(
+        F.trim(F.coalesce("STRAIN", F.lit(""))), F.lit(""))), "_+$", "")), " ", "_")
+    cell = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
+    keyed = rows.withColumn("basename", name)
+    pool = keyed.join(files.select("basename").distinct(), "basename", "left_semi").select(
+        F.trim("SPECIES").alias("species"), F.trim("STRAIN").alias("strain"), "basename",
+        F.concat_ws(";", F.lit("Fungi"), *[cell(c) for c in LINEAGE]).alias("lineage"))
+    return pool, keyed.join(files.select("basename"), "basename", "left_anti").select("basename")
