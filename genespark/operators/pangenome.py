@@ -360,3 +360,26 @@ def sliding_windows(positions: DataFrame, n: int) -> DataFrame:
         F.min("rank").alias("first_rank"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "family"))), lambda s: s["family"]), ",")
         .alias("families")).where((F.col("n") == n) & (F.col("contig") == F.col("_c2"))).drop("_c2", "n", "window")
+
+
+def gap_blocks(entries: DataFrame, max_gap: int) -> DataFrame:
+    """Block number per entry of a region; a gene-free gap over ``max_gap`` starts a new block.
+
+    Only genes make blocks. A rescue entry joins the nearest block (a tie goes to the earlier one).
+    ``entries`` has region, id, is_gene, start, end; ``max_gap`` <= 0 keeps one block.
+    """
+    group, order = ["region"], [F.col("start"), F.col("id")]
+    gene = F.col("is_gene") == 1
+    rows = running(chunk_rows(entries, group, order), group, order, {"_reach": ("max", F.when(gene, F.col("end")), False)})
+    new = gene & (F.lit(max_gap) > 0) & (F.col("start") - F.col("_reach") > max_gap)
+    rows = materialize(rows.withColumn("_new", F.coalesce(new, F.lit(False)).cast("int")))
+    rows = materialize(running(rows, group, order, {"block": ("sum", F.col("_new").cast("bigint"), True)}))
+    genes = rows.where(gene).select("region", "id", "start", "end", "block")
+    span = genes.groupBy("region", "block").agg(F.min("start").alias("_s"), F.max("end").alias("_e"))
+    # a rescue entry sits in or after block b, so b and b + 1 are its only possible neighbours
+    r = rows.where(~gene).select("region", "id", "start", "end", F.explode(F.array("block", F.col("block") + 1)).alias("block"))
+    d = F.when(F.col("start").between(F.col("_s"), F.col("_e")), 0).otherwise(
+        F.least(F.abs(F.col("start") - F.col("_s")), F.abs(F.col("start") - F.col("_e"))))
+    near = r.join(span, ["region", "block"], "left").groupBy("region", "id", "start", "end").agg(F.min(F.struct(
+        F.coalesce(d, F.lit(2**62)).alias("d"), "block")).alias("n"))
+    return genes.unionByName(near.select("region", "id", "start", "end", F.col("n.block").alias("block")))

@@ -45,6 +45,14 @@ def _scope_key(scope: str) -> Column:
     return F.col("target_id" if scope == "target" else "target_proteome")
 
 
+def best_self_hits(hits: DataFrame) -> DataFrame:
+    """Best non-self hit of every protein inside its own genome; ties by target id."""
+    best = hits.where(F.col("query_id") != F.col("target_id")).groupBy("query_id").agg(
+        F.min(F.struct("evalue", "target_id", "bitscore")).alias("b"))
+    return best.select(F.col("query_id").alias("protein_id"), F.col("b.target_id").alias("paralog_id"),
+                       F.col("b.bitscore").alias("bitscore"), F.col("b.evalue").alias("evalue"))
+
+
 def best_evalues(hits: DataFrame, scope: str = "target") -> DataFrame:
     """Best E-value of every query against every competition key, over all hits."""
     return hits.groupBy("query_proteome", "query_id", _scope_key(scope).alias("key")).agg(

@@ -10,7 +10,7 @@ from genespark.operators import loci as L
 from genespark.plans import loci as LP
 from genespark.plans.islands import shown, with_lists
 from genespark.plans.pangenome import freq, genes, matrix, placed
-from genespark.plans.registry import query
+from genespark.plans.registry import ORACLES, query
 from genespark.plans.views import Tables, ctes
 from genespark.sources import tables as TB
 from genespark.sources import text as TX
@@ -146,3 +146,92 @@ def island_rows(t: Tables):
 @query("J27_locus_rows")
 def locus_rows(t: Tables):
     return L.locus_rows(LP.exemplar_rows(t), LP.column_rows(t), LP.class_rows(t), LP.rank_rows(t), freq(t), family_classes(t))
+
+
+def scratch(t: Tables, name: str) -> str:
+    import uuid
+    from genespark.session import checkpoint_root
+    return f"{checkpoint_root(t.spark)}/genespark/{name}-{uuid.uuid4().hex}"
+
+
+@query("S4_hit_table_union", ctes("fx_hits") + """
+    select query_id, target_id, evalue, bitscore, query_proteome, target_proteome from fx_hits""")
+def hit_table_union(t: Tables):
+    path = scratch(t, "hits")
+    cols = ["query_id", "target_id", "evalue", "bitscore", "query_proteome", "target_proteome"]
+    t.hits.select(*cols).withColumn("part", F.col("query_proteome")).write.option("header", True).option("sep", "\t").partitionBy(
+        "part").csv(path)
+    return TB.hit_tables(t.spark, path).select(*cols)
+
+
+@query("S24_pfam2go", """select distinct concat('PF', p_size) as accession, concat('GO:', p_partkey % 4) as go_id from part""")
+def pfam2go(t: Tables):
+    return TX.pfam2go(t.part.select(F.concat(F.lit("Pfam:PF"), "p_size", F.lit(" Dom > GO:x ; GO:"), F.col("p_partkey") % 4).alias(
+        "value"))).distinct()
+
+
+@query("K2_candidate_list", ORACLES["pairwise_candidates"])
+def candidate_list(t: Tables):
+    from genespark.plans.presence import pairwise_candidates
+    return pairwise_candidates(t)
+
+
+@query("K3_species_files", ctes("fx_genes") + "select short as source_proteome, protein_id, family from fx_genes where g_start % 7 = 0")
+def species_files(t: Tables):
+    from genespark.sources.sinks import write_by_species
+    path = scratch(t, "species")
+    write_by_species(t.genes.where(F.col("g_start") % 7 == 0).select(F.col("short").alias("source_proteome"), "protein_id", "family"), path)
+    return t.spark.read.option("header", True).option("sep", "\t").csv(path)
+
+
+@query("K5_long_matrix", ctes("fx_presence") + "select family, short, copies, 'present' as state from fx_presence where family in ('F1', 'F20')")
+def long_matrix(t: Tables):
+    from genespark.sources.sinks import write_matrix
+    path = scratch(t, "matrix")
+    write_matrix(matrix(t), path)
+    return t.spark.read.parquet(path).where(F.col("family").isin("F1", "F20"))
+
+
+@query("J23_unknown_ids", ctes("fx_genes", "fx_presence") + """
+    select short, family, count(*) as n from fx_genes g
+    where not exists (select 1 from fx_presence p where p.family = g.family and p.short = g.short) group by 1, 2""")
+def unknown_ids(t: Tables):
+    return t.genes.join(t.presence, ["family", "short"], "left_anti").groupBy("short", "family").agg(F.count("*").alias("n"))
+
+
+@query("F2_trait_species", """
+    with l as (select concat('sp', c_custkey) as species, c_custkey as k, c_nationkey as c, c_custkey % 40 as d from customer),
+    f as (select c, d from l where k = 7)
+    select l.species, case when l.d = f.d then 'GENUS' else 'ORDER' end as rank_name, case when l.d = f.d then 7 else 5 end as depth
+    from l, f where k <> 7 and l.c = f.c and k % 3 = 0 order by 3 desc, 1 limit 8""")
+def trait_species(t: Tables):
+    from genespark.operators.select import nearest_species
+    from genespark.plans.annotate import species_pool
+    tr = t.customer.where(F.col("c_custkey") % 3 == 0).select(F.concat(F.lit("sp"), "c_custkey").alias("species"))
+    return nearest_species(species_pool(t), "sp7", "ORDER", 8, None, tr)
+
+
+@query("W1_best_self_hit", ctes("fx_family_hits") + """
+    select query_id as protein_id, arg_min(target_id, {'e': evalue, 't': target_id}) as paralog_id, min(evalue) as evalue
+    from fx_family_hits group by 1""")
+def best_self_hit(t: Tables):
+    from genespark.operators.presence import best_self_hits
+    own = t.part.select(F.concat(F.lit("P"), "p_partkey").alias("query_id")).withColumn("target_id", F.col("query_id")).withColumn(
+        "evalue", F.lit(0.0))
+    return best_self_hits(t.family_hits.unionByName(own).withColumn("bitscore", F.lit(50.0))).select("protein_id", "paralog_id", "evalue")
+
+
+@query("W21_gap_blocks", ctes("fx_genes") + """
+    , e as (select distinct short || contig as region, protein_id || family as id, g_start as s, g_start + g_len as e from fx_genes
+            where g_start % 9 <> 0),
+    r as (select *, max(e) over (partition by region order by s, id rows between unbounded preceding and 1 preceding) as reach from e),
+    b as (select *, sum(case when s - reach > 9000 then 1 else 0 end) over (partition by region order by s, id) as block from r)
+    select region, id, s as start, e as end, cast(block as bigint) as block from b""")
+def gap_blocks(t: Tables):
+    from genespark.operators.pangenome import gap_blocks as op
+    e = t.genes.select(F.concat("short", "contig").alias("region"), F.concat("protein_id", "family").alias("id"),
+                       (F.col("g_start") % 9 != 0).cast("int").alias("is_gene"), F.col("g_start").alias("start"),
+                       (F.col("g_start") + F.col("g_len")).alias("end")).distinct()
+    out = op(e, 9000)
+    return out.join(e.where("is_gene = 1").select("region", "id", "start", "end"), ["region", "id", "start", "end"], "left_semi").select(
+        "region", "id", "start", "end", "block")

@@ -18,6 +18,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="genespark-")
         spark.conf.set(CHECKPOINT_KEY, root)
     return root
