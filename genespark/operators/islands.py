@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genespark.functions.exprs import count_if
 from genespark.operators.families import bounded_list
 from genespark.operators.joins import split_join
-from genespark.operators.ordered import chunk_rows, running
+from genespark.operators.ordered import chunk_rows, rank_within, running
 
 RUN = ["short", "contig", "run"]
 
@@ -178,8 +178,8 @@ def column_order(members: DataFrame, positions: DataFrame, shown: DataFrame) ->
     got = want.join(p, ["short", "family"], "left").groupBy("island_id", "family").agg(
         F.min(F.when(F.col("contig") == F.col("span_contig"), F.col("rank"))).alias("_on"), F.min("rank").alias("_any"))
     tier = F.when(F.col("_on").isNotNull(), 0).when(F.col("_any").isNotNull(), 1).otherwise(2)
-    w = Window.partitionBy("island_id").orderBy("_tier", F.coalesce("_on", "_any"), "family")
-    return got.withColumn("_tier", tier).withColumn("column", F.row_number().over(w) - 1).select(
+    got = got.withColumn("_tier", tier).withColumn("_at", F.coalesce("_on", "_any", F.lit(0)))
+    return rank_within(got, ["island_id"], [F.col("_tier"), F.col("_at"), F.col("family")], "column").select(
         "island_id", "family", "column")
 
 

@@ -6,7 +6,7 @@ locus's families has no rows; it is uninformative by definition and only counted
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genespark.functions.exprs import count_if
@@ -187,8 +187,8 @@ def species_counts(rows: DataFrame, strains: DataFrame) -> DataFrame:
 
 def breakpoints(cells: DataFrame, rows: DataFrame, strains: DataFrame) -> DataFrame:
     """Boundaries where a strain changes between in place and absent (by species) or contig break."""
-    w = Window.partitionBy(*ROW).orderBy("col")
-    c = cells.withColumn("prev", F.lag("code").over(w)).where(F.col("prev").isNotNull()).join(
+    before = cells.select(*ROW, (F.col("col") + 1).alias("col"), F.col("code").alias("prev"))
+    c = cells.select(*ROW, "col", "code").join(before, [*ROW, "col"]).join(
         rows.select(*ROW, "row_class"), ROW).join(strains.select("short", "species"), "short")
     here, there = F.col("code").isin(IN_PLACE, RESCUE_IN), F.col("prev").isin(IN_PLACE, RESCUE_IN)
     with_ = lambda x: (here & (F.col("prev") == x)) | (there & (F.col("code") == x))
