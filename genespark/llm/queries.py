@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from genespark.llm import sharding
+from genespark.llm import sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op6_sharding")
 def op6(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_simhash")
+def op7(spark, sf_dir):
+    return simhash.simhash_documents(table(spark, sf_dir, "documents"))
