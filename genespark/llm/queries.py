@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genespark.llm import sharding, simhash, token_counts
+from genespark.llm import pieces, sharding, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,8 @@ def op6(spark, sf_dir):
 @query("op7_simhash")
 def op7(spark, sf_dir):
     return simhash.simhash_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pieces")
+def op10(spark, sf_dir):
+    return pieces.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
