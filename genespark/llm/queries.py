@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genespark.llm import pieces, sharding, simhash, token_counts
+from genespark.llm import language, pieces, sharding, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op1(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op2_language")
+def op2(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query("op6_sharding")
 def op6(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
