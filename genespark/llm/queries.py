@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genespark.llm import language, pieces, sharding, simhash, token_counts
+from genespark.llm import language, packing, pieces, sharding, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op2(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op3_packing")
+def op3(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op6_sharding")
 def op6(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
