@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genespark.llm import language, packing, pieces, sharding, simhash, substrings, token_counts
+from genespark.llm import language, packing, pieces, quality, sharding, simhash, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op3(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op4_quality_rules")
+def op4(spark, sf_dir):
+    return quality.quality_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op5_substrings")
 def op5(spark, sf_dir):
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
