@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genespark.llm import language, packing, pieces, quality, sharding, simhash, substrings, token_counts
+from genespark.llm import language, packing, pieces, pii, quality, sharding, simhash, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op7(spark, sf_dir):
 @query("op10_pieces")
 def op10(spark, sf_dir):
     return pieces.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op9_pii")
+def op9(spark, sf_dir):
+    return pii.pii_documents(table(spark, sf_dir, "documents"))
