@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from genespark.llm import language, packing, pieces, pii, quality, sharding, simhash, substrings, token_counts
+from genespark.llm import language, packing, pieces, pii, quality, sharding, simhash, substrings, token_counts, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +67,27 @@ def op10(spark, sf_dir):
     return pieces.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+TOP_SQL = """
+    with v as (
+        select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as e
+        from embeddings
+        where embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (
+        select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+        from v q join v c on q.vec_id <> c.vec_id
+        where q.vec_id % 20 = 0)
+    select query_id, cast(rank as integer) as rank, vec_id, score
+    from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+    where rank <= 20"""
+
+
+@query("op8_topk", TOP_SQL)
+def op8(spark, sf_dir):
+    vectors = topk.whole_numbers(table(spark, sf_dir, "embeddings"))
+    return topk.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 @query("op9_pii")
 def op9(spark, sf_dir):
     return pii.pii_documents(table(spark, sf_dir, "documents"))
