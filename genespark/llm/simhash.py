@@ -103,22 +103,23 @@ def linked(nodes: DataFrame, x: str = "fingerprint_bits", distance: int = 2) ->
     return left.join(right, "key").where((F.col("a") != F.col("b")) & near).select("a", "b")
 
 
-def near_duplicate_groups(rows: DataFrame, distance: int = 2) -> DataFrame:
-    """Add ``component_id`` to a written table with doc_id and fingerprint_bits.
+def near_duplicate_groups(rows: DataFrame, x: str = "fingerprint_bits", distance: int = 2) -> DataFrame:
+    """Add ``component`` and ``component_id`` to a written table with doc_id and the fingerprint ``x``.
 
-    It is the smallest doc_id that links lead to, the document's own included;
-    a null doc_id counts only where the group has no other. Repeated rows keep
-    one row each; an empty table gives an empty result.
+    ``component_id`` is the smallest doc_id that links lead to, the document's
+    own included; a null doc_id counts only where the group has no other.
+    ``component`` numbers the groups. Repeated rows keep one row each; an empty
+    table gives an empty result.
     """
-    nodes = materialize(rows.groupBy("fingerprint_bits").agg(F.min("doc_id").alias("least")))
-    pairs = materialize(linked(nodes, distance=distance).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    joined = components(pairs).withColumnRenamed("node", "fingerprint_bits")
-    classes = nodes.join(joined, "fingerprint_bits", "left").withColumn("component", F.coalesce("component", "fingerprint_bits"))
+    nodes = materialize(rows.groupBy(x).agg(F.min("doc_id").alias("least")))
+    pairs = materialize(linked(nodes, x, distance).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    joined = components(pairs).withColumnRenamed("node", x)
+    classes = nodes.join(joined, x, "left").withColumn("component", F.coalesce("component", x))
     names = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialize(classes.join(names, "component").select("fingerprint_bits", "component_id"))
+    named = materialize(classes.join(names, "component").select(x, "component", "component_id"))
     for old in (pairs, joined, nodes):
         drop_written(old)
-    return rows.join(named, "fingerprint_bits")
+    return rows.join(named, x)
 
 
 def simhash_documents(docs: DataFrame) -> DataFrame:
