@@ -4,9 +4,10 @@ The library writes a space as a marker and puts one in front of a text. Where
 no piece of the model has a marker behind another character, no merge crosses
 the start of a run of markers, so a text is a sequence of *chunks*, each a run of
 markers and the characters up to the next run, and chunks are segmented
-independently. Each distinct chunk of the table is segmented and decoded once by
-the library and joined back to its places in the documents (``blocks`` describes
-how the lists travel). The model is checked for this property.
+independently. Each distinct chunk of the table is segmented once by the library
+and joined back to its places in the documents (``blocks`` describes how the
+lists travel); a block decodes its distinct chunks once. The model is checked
+for this property.
 """
 
 from __future__ import annotations
@@ -44,12 +45,16 @@ def chunks(text: str) -> list[str]:
     return CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
 
 
-def segment(sp, distinct: list[str]) -> tuple[list[list[int]], list[str]]:
-    """Ids of every chunk and the text they decode to, its leading space included."""
+def segment(sp, distinct: list[str]) -> list[list[int]]:
+    """Ids of every chunk."""
     ids = sp.encode([c[1:] for c in distinct], num_threads=1)  # the library adds the first marker itself
     lone = sp.piece_to_id(MARK)
-    ids = [[lone] if c == " " else x for c, x in zip(distinct, ids, strict=True)]
-    return ids, [" " + t for t in sp.decode(ids, num_threads=1)]
+    return [[lone] if c == " " else x for c, x in zip(distinct, ids, strict=True)]
+
+
+def decode(sp, ids: list[list[int]]) -> list[bytes]:
+    """Text of every chunk, its leading space included."""
+    return [b" " + t.encode() for t in sp.decode(ids, num_threads=1)]
 
 
 def _blocks(batches):
@@ -83,7 +88,7 @@ def _lists(buckets: int):
             words = pa.array(known, pa.string())
             for bucket, mine in enumerate(blocks.dealt(known, buckets)):
                 if len(mine):
-                    payload = blocks.pack(chunk=words.take(pa.array(mine)), code=mine.astype("u4"))
+                    payload = blocks.pack(chunk=words.take(pa.array(mine)), step=np.diff(mine, prepend=0).astype("u4"))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([bucket], pa.int32()), pa.array([block], pa.int64()), pa.array([payload], pa.binary())],
                         ["bucket", "block", "payload"])
@@ -95,19 +100,14 @@ def _segment_bucket(path: str):
         sp = load(path)
         lists = [blocks.unpack(p) for p in group["payload"].to_pylist()]
         words = pa.chunked_array([x["chunk"].combine_chunks() for x in lists]).combine_chunks().dictionary_encode()
-        ids, back = [], []
-        distinct = words.dictionary.to_pylist()
+        distinct, ids = words.dictionary.to_pylist(), []
         for at in range(0, len(distinct), 10_000):
-            part = segment(sp, distinct[at:at + 10_000])
-            ids += part[0]
-            back += part[1]
-        n = pa.array([len(x) for x in ids], pa.uint32())
-        texts, back = pa.array([" ".join(map(str, x)) for x in ids]), pa.array(back)
+            ids += segment(sp, distinct[at:at + 10_000])
+        ids = pa.array(ids, pa.list_(pa.uint16() if sp.get_piece_size() <= 1 << 16 else pa.uint32()))
         at, out = 0, []
         for x in lists:
-            here = words.indices[at:at + len(x)]
+            out.append(blocks.pack(step=x["step"].combine_chunks(), ids=ids.take(words.indices[at:at + len(x)])))
             at += len(x)
-            out.append(blocks.pack(code=x["code"].combine_chunks(), n=n.take(here), ids=texts.take(here), back=back.take(here)))
         return pa.table([group["block"].combine_chunks(), pa.array(out, pa.binary())], ["block", "payload"])
 
     return run
@@ -117,22 +117,22 @@ def _join_block(path: str):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(group: pa.Table) -> pa.Table:
-        end = load(path).eos_id()
+        sp = load(path)
         parts = [blocks.unpack(p) for p in group["payload"].drop_null().to_pylist()]
         size = sum(len(p) for p in parts)
         count, ids, back = np.zeros(size, "i8"), np.empty(size, object), np.empty(size, object)
         for p in parts:
-            code = p["code"].to_numpy()
-            count[code] = p["n"].to_numpy()
-            ids[code] = p["ids"].cast(pa.binary()).to_numpy()
-            back[code] = p["back"].cast(pa.binary()).to_numpy()
+            code, own = np.cumsum(p["step"].to_numpy().astype("i8")), p["ids"].to_pylist()
+            count[code] = [len(x) for x in own]
+            ids[code] = [b" ".join(b"%d" % i for i in x) for x in own]
+            back[code] = decode(sp, own)
         docs, = (blocks.unpack(p) for p in group["docs"].drop_null().to_pylist())
         doc_id, n, planes = (docs[c].combine_chunks().flatten() for c in ("doc_id", "n", "planes"))
         codes = np.ascontiguousarray(planes.to_numpy().reshape(4, -1).T).view("u4").reshape(-1)
-        if codes.max(initial=-1 if size == 0 else 0) >= max(size, 1):
+        if len(codes) and codes.max() >= size:
             raise RuntimeError("a block's documents and its list of chunks differ: the input changed between two reads")
         tokens, shas, decoded, at = [], [], [], 0
-        last = b"%d" % end
+        last = b"%d" % sp.eos_id()
         for k in n.to_pylist():
             own = codes[at:at + k]
             at += k
