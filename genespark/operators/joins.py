@@ -1,4 +1,4 @@
-"""Join patterns: hot-key splitting, interval overlap by bins, rank bands."""
+"""Join patterns: joins with hot keys, interval overlap by bins, rank bands."""
 
 from __future__ import annotations
 
@@ -7,54 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it has more than HOT_ROWS rows and is among the HOT_KEYS most
-# frequent ones. Any other key holds at most 1/HOT_KEYS of the rows, so the list
-# of hot keys is bounded whatever the data, and no hot key is missed.
-HOT_KEYS = 500
-HOT_ROWS = 200_000
-
-
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
-    """The at most HOT_KEYS hot keys of ``df`` as a small local table; None when there are none."""
-    top = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
-    rows = top.orderBy(F.desc("_n")).limit(HOT_KEYS).select(*on).collect()
-    if not rows:
-        return None
-    spark, schema = df.sparkSession, df.select(*on).schema
-    return spark.createDataFrame(rows, schema).withColumn("_hot", F.lit(True))
-
-
 def split_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", parts: int = 64,
-    condition: Column | None = None, hot_from: DataFrame | None = None,
+    big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", condition: Column | None = None,
 ) -> DataFrame:
-    """Equi-join in which hot keys of ``big`` are spread over ``parts`` tasks.
-
-    ``small`` should have few rows per key; only its hot keys are copied. The
-    spread is a hash of the row, so a retried task sends rows to the same place.
-    Without hot keys this is a plain join. ``hot_from`` names a cheaper table to
-    count keys in (for instance the rows before a filter). ``how`` is inner,
-    left, left_semi or left_anti; ``condition`` may name the columns of both
-    sides and is checked inside the join.
+    """Equi-join of a table whose keys may be hot with one that has few rows per key.
+
+    A plain shuffled join: adaptive execution cuts the partitions of hot keys of
+    ``big`` by their measured size and copies their partners, for any number of
+    keys. ``how`` is inner, left, left_semi or left_anti; ``condition`` may name
+    the columns of both sides and is checked inside the join.
     """
     on = list(on)
-    hot = hot_keys(big if hot_from is None else hot_from, on)
-    keys = on
-    if hot is not None:
-        rest = [c for c in big.columns if c not in on]
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in (rest or on)]), F.lit(parts)).cast("int")
-        copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-        hot = F.broadcast(hot)
-        big = big.join(hot, on, "left").withColumn(
-            "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))).drop("_hot")
-        small = small.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-        keys = [*on, "_salt"]
     if condition is None:
-        return big.join(small, keys, how).drop("_salt")
-    small = small.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in small.columns])
-    for c in keys:
+        return big.join(small, on, how)
+    small = small.select(*[F.col(c).alias(f"_k_{c}") if c in on else F.col(c) for c in small.columns])
+    for c in on:
         condition = condition & (F.col(c) == F.col(f"_k_{c}"))
-    return big.join(small, condition, how).drop("_salt", *[f"_k_{c}" for c in keys])
+    return big.join(small, condition, how).drop(*[f"_k_{c}" for c in on])
 
 
 def _bins(start: Column, end: Column, width: int) -> Column:
@@ -74,7 +43,7 @@ def overlap_join(
 
     Both sides are copied into the fixed-width bins they touch. A pair is kept
     only in the bin where its overlap begins, so no pair appears twice. A bin
-    that holds many left intervals is split like any other hot key.
+    that holds many left intervals is a hot key like any other.
     """
     ls, le = left_span
     rs, re = right_span

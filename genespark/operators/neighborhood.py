@@ -72,7 +72,7 @@ def score_modules(
     strain is its accessory genes and the module's own ones.
     """
     g = materialize(genes.select("short", "contig", "rank", "start", "family"))
-    mine = split_join(g, modules.select("family", "module_id"), ["family"], hot_from=g)
+    mine = split_join(g, modules.select("family", "module_id"), ["family"])
     size = mine.groupBy("module_id", "short").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2)
     acc = accessory.select("family", F.lit(1).alias("_a")).distinct()
     order = [F.col("contig"), F.col("rank")]

@@ -17,8 +17,3 @@ def spark(tmp_path_factory):
     s.stop()
 
 
-@pytest.fixture
-def hot(monkeypatch):
-    """Treat any key with more than two rows as hot, so the splitting path runs on tiny data."""
-    from genespark.operators import joins
-    monkeypatch.setattr(joins, "HOT_ROWS", 2)

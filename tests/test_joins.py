@@ -10,7 +10,7 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-def test_split_join_equals_a_plain_join(spark, hot):
+def test_split_join_equals_a_plain_join(spark):
     big = spark.createDataFrame([("x" if i % 3 else f"k{i % 5}", i) for i in range(200)], "k string, v int")
     small = spark.createDataFrame([("x", 1), ("k0", 2), ("k1", 3), ("zz", 4)], "k string, w int")
     for how in ("inner", "left", "left_semi", "left_anti"):
@@ -28,7 +28,7 @@ def spans(seed, n, name):
     return out
 
 
-def test_overlap_and_point_joins_match_brute_force(spark, hot):
+def test_overlap_and_point_joins_match_brute_force(spark):
     a, b = spans(1, 120, "a"), spans(2, 60, "b")
     da = spark.createDataFrame(a, "ia string, c string, start bigint, end bigint")
     db = spark.createDataFrame(b, "ib string, c string, r_start bigint, r_end bigint")

@@ -15,7 +15,7 @@ def hit(q, t, e, tp="B", qcov=80):
     return (q, "A", t, tp, e, 50.0, qcov)
 
 
-def test_paralog_competition(spark, hot):
+def test_paralog_competition(spark):
     rows = [hit("q", "t1", 1e-8), hit("p", "t1", 1e-12), hit("q", "t2", 1e-9), hit("p", "t2", 1e-9), hit("q", "t3", 1e-25),
             hit("p", "t3", 1e-60), hit("q", "t4", 1e-5)]
     s = judged(spark, rows)
