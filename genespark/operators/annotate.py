@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.functions.ids import CLASS_ORDER, domain_class, gene_of_protein
-from genespark.operators.families import LIST_BOUND
 from genespark.operators.joins import split_join
 
 
@@ -20,11 +19,9 @@ def annotate(
 ) -> DataFrame:
     """Product and its source by priority model organism, domains, best database hit.
 
-    ``domains`` has one row per (protein_id, hit_order, domain): lists keep hit order. A protein with
-    more than LIST_BOUND domains gets no list; its rows stay in ``domains``.
+    ``domains`` has one row per (protein_id, hit_order, domain): lists keep hit order.
     """
-    fits = domains.groupBy("protein_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= LIST_BOUND)
-    lists = domains.join(fits, "protein_id", "left_semi").groupBy("protein_id").agg(F.array_join(F.transform(
+    lists = domains.groupBy("protein_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("hit_order", "domain"))), lambda s: s["domain"]), ",").alias("pfam_names"))
     m = model.select("source_proteome", "protein_id", "gene_name", F.col("product").alias("_mp"))
     out = proteins.join(m, ["source_proteome", "protein_id"], "left").join(lists, "protein_id", "left").join(
@@ -85,34 +82,42 @@ def model_key(proteins: DataFrame, hits: DataFrame, pattern: str = r"-t\d+_\d+-p
     return rows.select("source_proteome", "protein_id", key.alias("gene_key"))
 
 
-def choose_positions(
-    proteins: DataFrame, by_id: DataFrame, by_locus: DataFrame, fallback_below: float = 0.5
-) -> DataFrame:
-    """Positions by protein id, or by gene name <-> locus tag where ids match too rarely and that matches more.
-
-    The locus join is one to one: a gene name or tag that occurs twice is not used.
-    """
-    n = proteins.groupBy("short").agg(F.count(F.lit(1)).alias("n"))
-    first = proteins.join(by_id, ["short", "protein_id"])
+def _matches(proteins: DataFrame, by_id: DataFrame, by_locus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Positions by protein id, and by gene name <-> locus tag; a name or tag that occurs twice is not used."""
     names = proteins.groupBy("short", F.col("gene_name").alias("locus_tag")).agg(
         F.min("protein_id").alias("protein_id"), F.count(F.lit(1)).alias("_k")).where(
         (F.col("_k") == 1) & (F.col("locus_tag") != ""))
-    second = names.join(by_locus, ["short", "locus_tag"])
+    return proteins.join(by_id, ["short", "protein_id"]), names.join(by_locus, ["short", "locus_tag"])
+
+
+def position_choice(
+    proteins: DataFrame, by_id: DataFrame, by_locus: DataFrame, fallback_below: float = 0.5
+) -> DataFrame:
+    """Per strain whether locus tags are used, and the share of proteins placed; strains without a match stay, with 0."""
+    first, second = _matches(proteins, by_id, by_locus)
+    n = proteins.groupBy("short").agg(F.count(F.lit(1)).alias("n"))
     k1 = first.groupBy("short").agg(F.count(F.lit(1)).alias("k1"))
     k2 = second.groupBy("short").agg(F.count(F.lit(1)).alias("k2"))
-    pick = n.join(k1, "short", "left").join(k2, "short", "left").fillna(0).withColumn(
-        "use_locus", (F.col("k1") / F.col("n") < fallback_below) & (F.col("k2") > F.col("k1"))).withColumn(
-        "matched", F.when(F.col("use_locus"), F.col("k2")).otherwise(F.col("k1")) / F.col("n"))
+    use = (F.col("k1") / F.col("n") < fallback_below) & (F.col("k2") > F.col("k1"))
+    return n.join(k1, "short", "left").join(k2, "short", "left").fillna(0).select(
+        "short", use.alias("use_locus"), (F.when(use, F.col("k2")).otherwise(F.col("k1")) / F.col("n")).alias("matched"))
+
+
+def choose_positions(
+    proteins: DataFrame, by_id: DataFrame, by_locus: DataFrame, fallback_below: float = 0.5
+) -> DataFrame:
+    """Positions by protein id, or by locus tag where ids match too rarely and tags match more."""
+    first, second = _matches(proteins, by_id, by_locus)
     cols = ["short", "protein_id", "contig", "start", "end"]
     out = first.select(*cols, F.lit(False).alias("use_locus")).unionByName(
         second.select(*cols, F.lit(True).alias("use_locus")))
-    return out.join(pick.select("short", "use_locus", "matched"), ["short", "use_locus"])
+    return out.join(position_choice(proteins, by_id, by_locus, fallback_below), ["short", "use_locus"])
 
 
-def position_status(chosen: DataFrame, abort_below: float = 0.5, warn_above: float = 0.02) -> DataFrame:
+def position_status(choice: DataFrame, abort_below: float = 0.5, warn_above: float = 0.02) -> DataFrame:
     """Ok / warn / abort per strain from the share of placed proteins."""
-    m = F.max("matched")
-    return chosen.groupBy("short").agg(F.round(m, 4).alias("matched"), F.when(m < abort_below, "abort").when(
+    m = F.col("matched")
+    return choice.select("short", F.round(m, 4).alias("matched"), F.when(m < abort_below, "abort").when(
         1 - m > warn_above, "warn").otherwise("ok").alias("status"))
 
 

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from genespark.functions.exprs import count_if, ratio
 from genespark.operators.joins import split_join
 from genespark.operators.presence import band_sizes
-from genespark.operators.ordered import interval_union, values_at
+from genespark.operators.ordered import interval_union, rank_within, values_at
 
-# A member list is written into one row only up to this size. Larger families
-# keep a null list; their members stay in the long member table.
-LIST_BOUND = 10_000
+LIST_ROWS = 10_000  # members in one row of a member list; a larger family has several numbered rows
 
 
 def sized(members: DataFrame) -> DataFrame:
@@ -45,18 +43,22 @@ def extend_queries(ids: DataFrame, paralogs: DataFrame) -> DataFrame:
     return ids.select("protein_id").union(extra).distinct()
 
 
-def bounded_list(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Size ``n`` and sorted, comma-joined values per key; the list is null above LIST_BOUND."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.where(F.col("n") <= LIST_BOUND)
-    lists = df.join(small, list(keys), "left_semi").groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_list(value)), ",").alias(out))
-    return sizes.join(lists, list(keys), "left")
+def whole_list(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Size ``n`` and sorted, comma-joined values per key, for lists that are one value of their row's subject."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list(value)), ",").alias(out))
+
+
+def list_blocks(members: DataFrame, rows: int | None = None) -> DataFrame:
+    """(family, block, list): sorted members, ``rows`` to a block. No family is gathered in one task or row."""
+    ranked = rank_within(members.select("family", "member"), ["family"], [F.col("member")], "_r")
+    block = F.floor(F.col("_r") / (rows or LIST_ROWS)).cast("bigint")
+    return ranked.groupBy("family", block.alias("block")).agg(F.array_sort(F.collect_list("member")).alias("list"))
 
 
 def cluster_summary(members: DataFrame) -> DataFrame:
-    """Size and members per cluster."""
-    return bounded_list(members, ["family"], "member", "members").withColumnRenamed("n", "size")
+    """Size and members per cluster; the members of a large one stand in several numbered rows."""
+    lists = list_blocks(members).select("family", "block", F.array_join("list", ",").alias("members"))
+    return lists.join(sized(members), "family")
 
 
 def family_payload(members: DataFrame, species: DataFrame) -> DataFrame:
@@ -64,25 +66,25 @@ def family_payload(members: DataFrame, species: DataFrame) -> DataFrame:
     tagged = members.join(species, "member", "left")
     sp = tagged.where(F.col("species").isNotNull()).select("family", "species").distinct()
     return sized(members).join(
-        bounded_list(sp, ["family"], "species", "species").withColumnRenamed("n", "n_species"), "family", "left"
+        whole_list(sp, ["family"], "species", "species").withColumnRenamed("n", "n_species"), "family", "left"
     ).fillna(0, ["n_species"])
 
 
 def species_novelties(found: DataFrame, samples: DataFrame, members: DataFrame) -> DataFrame:
     """Novel proteins with species, family, family size and the other family members.
 
-    Only families with a novel protein are expanded, and only up to LIST_BOUND.
+    Only families with a novel protein are listed. ``block`` numbers the rows of a
+    protein whose family fills several lists.
     """
     species = samples.where(F.col("grp") == "IN").select(F.col("short").alias("source_proteome"), "species")
     rows = found.join(species, "source_proteome").join(
         members.select(F.col("member").alias("protein_id"), "family"), "protein_id", "left")
     sizes = sized(members).withColumnRenamed("size", "family_size")
-    wanted = rows.where(F.col("family").isNotNull()).select("protein_id", "family").distinct()
-    listable = members.join(sizes.where(F.col("family_size") <= LIST_BOUND), "family", "left_semi")
-    other = wanted.join(listable, "family").where(F.col("member") != F.col("protein_id")).groupBy("protein_id").agg(
-        F.array_join(F.array_sort(F.collect_list("member")), ",").alias("other_members"))
-    return rows.join(sizes, "family", "left").join(other, "protein_id", "left").withColumn(
-        "family_size", F.coalesce("family_size", F.lit(1)))
+    wanted = members.join(rows.select("family"), "family", "left_semi")
+    others = F.array_except("list", F.array("protein_id"))
+    return rows.join(sizes, "family", "left").join(list_blocks(wanted), "family", "left").withColumns({
+        "family_size": F.coalesce("family_size", F.lit(1)), "block": F.coalesce("block", F.lit(0)),
+        "other_members": F.when(F.size(others) > 0, F.array_join(others, ","))}).drop("list")
 
 
 def domain_coverage(hits: DataFrame, domain_evalue: float | None = 1e-5) -> DataFrame:

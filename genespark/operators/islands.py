@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genespark.functions.exprs import count_if
-from genespark.operators.families import bounded_list
+from genespark.operators.families import whole_list
 from genespark.operators.joins import split_join
 from genespark.operators.ordered import chunk_rows, rank_within, running
 
@@ -29,8 +29,7 @@ def accessory_rows(positions: DataFrame, freq: DataFrame) -> DataFrame:
     Runs never cross a contig, so the run number is the count of core genes
     before the gene on its contig: one distributed running sum.
     """
-    rows = split_join(positions.select("short", "contig", "family", "rank", "start"), is_core(freq), ["family"], "left",
-                      hot_from=positions)
+    rows = split_join(positions.select("short", "contig", "family", "rank", "start", "end"), is_core(freq), ["family"], "left")
     rows = rows.withColumn("core", F.coalesce("core", F.lit(True)))
     group, order = ["short", "contig"], [F.col("rank")]
     run = running(chunk_rows(rows, group, order), group, order,
@@ -49,7 +48,7 @@ def runs_of(rows: DataFrame, min_size: int = 2) -> DataFrame:
     """Runs with at least ``min_size`` genes: size and rank span."""
     return rows.groupBy(*RUN).agg(
         F.count(F.lit(1)).alias("size"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
-        F.min("start").alias("start"), F.max("start").alias("end")).where(F.col("size") >= min_size)
+        F.min("start").alias("start"), F.max("end").alias("end")).where(F.col("size") >= min_size)
 
 
 def supported_runs(rows: DataFrame, pairs: DataFrame, min_size: int = 2) -> DataFrame:
@@ -89,7 +88,7 @@ def island_members(islands: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def member_lists(members: DataFrame) -> DataFrame:
-    return bounded_list(members, ["island_id"], "family", "member_families").drop("n")
+    return whole_list(members, ["island_id"], "family", "member_families").drop("n")
 
 
 def marker_flag(islands: DataFrame, members: DataFrame, marker: DataFrame, name: str) -> DataFrame:
@@ -120,9 +119,10 @@ def instances(rows: DataFrame, islands: DataFrame, min_size: int = 2) -> DataFra
         "sig1", "sig2", "n_members")
 
 
-def top_islands(islands: DataFrame, min_strains: int = 2, n: int = 50) -> DataFrame:
-    """largest islands among those in at least ``min_strains`` strains."""
-    return islands.where(F.col("n_strains") >= min_strains).orderBy(
+def top_islands(islands: DataFrame, shown: DataFrame, min_strains: int = 2, n: int = 50) -> DataFrame:
+    """largest islands among those with a span in at least ``min_strains`` strains; ties by strains, then id."""
+    located = shown.where(F.col("span_contig").isNotNull()).select("island_id")
+    return islands.join(located, "island_id", "left_semi").where(F.col("n_strains") >= min_strains).orderBy(
         F.desc("island_size"), F.desc("n_strains"), "island_id").limit(n)
 
 
@@ -144,30 +144,35 @@ def haplotypes(members: DataFrame, matrix: DataFrame, strains: DataFrame) -> Dat
 def display_strain(islands: DataFrame, members: DataFrame, positions: DataFrame, references: DataFrame) -> DataFrame:
     """First reference strain that holds all members on one contig, else the example strain; then the span.
 
-    A reference contig can only qualify where it holds the island's rarest
-    member, so only those contigs are compared with the whole member set.
+    A family stands at its first annotated gene in a strain (by contig, start,
+    id); rescue hits have no gene and do not count. The span runs from the
+    smallest start to the largest end of the members found; it is null where
+    they lie on several contigs or none is found. A reference can only qualify
+    where it holds the island's rarest member, so only those are compared with
+    the whole member set.
     """
-    size = members.groupBy("island_id").agg(F.count(F.lit(1)).alias("_n"))
-    place = positions.select("short", "contig", "family", "start")
+    place = positions.where(~F.col("id").startswith("~")).groupBy("short", "family").agg(
+        F.min(F.struct("contig", "start", "id", "end")).alias("p")).select("short", "family", "p.contig", "p.start", "p.end")
     ref = place.join(references.select("short", "priority"), "short")
     copies = ref.groupBy("family").agg(F.count(F.lit(1)).alias("_c"))
+    size = members.groupBy("island_id").agg(F.count(F.lit(1)).alias("_n"))
     anchor = members.join(copies, "family", "left").groupBy("island_id").agg(
         F.min_by("family", F.struct(F.coalesce("_c", F.lit(0)).alias("c"), "family")).alias("family"))
-    sites = split_join(ref.select("short", "contig", "priority", "family").distinct(), anchor, ["family"]).drop("family")
-    own = islands.select("island_id", F.col("example_strain").alias("short")).join(anchor, "island_id").join(
-        place.select("short", "contig", "family").distinct(), ["short", "family"])
-    sites = sites.unionByName(own.select("island_id", "short", "contig", F.lit(2**31 - 1).alias("priority")))
-    spans = place.groupBy("short", "contig", "family").agg(F.min("start").alias("a"), F.max("start").alias("b"))
-    full = sites.distinct().join(members, "island_id").join(spans, ["short", "contig", "family"]).groupBy(
-        "island_id", "short", "priority", "contig").agg(
-        F.count(F.lit(1)).alias("_k"), F.min("a").alias("span_start"), F.max("b").alias("span_end"))
-    full = full.join(size, "island_id").where(F.col("_k") == F.col("_n"))
-    best = full.groupBy("island_id").agg(F.min(F.struct(
-        "priority", (F.col("span_end") - F.col("span_start")).alias("w"), "short", "contig", "span_start", "span_end"))
-        .alias("b"))
-    return islands.select("island_id", "example_strain").join(best, "island_id", "left").select(
-        "island_id", F.coalesce("b.short", "example_strain").alias("display_strain"),
-        F.col("b.contig").alias("span_contig"), "b.span_start", "b.span_end")
+    sites = split_join(ref.select("short", "contig", "priority", "family"), anchor, ["family"]).drop("family")
+    full = sites.join(members, "island_id").join(place, ["short", "contig", "family"], "left_semi").groupBy(
+        "island_id", "short", "priority").agg(F.count(F.lit(1)).alias("_k")).join(size, "island_id").where(F.col("_k") == F.col("_n"))
+    best = full.groupBy("island_id").agg(F.min(F.struct("priority", "short")).alias("b"))
+    shown = islands.select("island_id", "example_strain").join(best, "island_id", "left").select(
+        "island_id", F.coalesce("b.short", "example_strain").alias("short"))
+    met = shown.join(members, "island_id").join(place, ["short", "family"])
+    span = met.groupBy("island_id").agg(
+        F.count(F.lit(1)).alias("n_members_with_coordinates"), F.countDistinct("contig").alias("n_contigs_in_locus"),
+        F.min("contig").alias("_c"), F.min("start").alias("_s"), F.max("end").alias("_e"))
+    one = lambda c: F.when(F.col("n_contigs_in_locus") == 1, F.col(c))
+    return shown.join(span, "island_id", "left").select(
+        "island_id", F.col("short").alias("display_strain"), one("_c").alias("span_contig"), one("_s").alias("span_start"),
+        one("_e").alias("span_end"), F.coalesce("n_members_with_coordinates", F.lit(0)).alias("n_members_with_coordinates"),
+        F.coalesce("n_contigs_in_locus", F.lit(0)).alias("n_contigs_in_locus"))
 
 
 def column_order(members: DataFrame, positions: DataFrame, shown: DataFrame) -> DataFrame:
@@ -204,12 +209,10 @@ def island_rows(
 ) -> DataFrame:
     """One row per island: ordered families with class and location per column, haplotype count.
 
-    Islands above LIST_BOUND columns keep null strings; ``columns`` and ``copies`` hold them in full.
+    The lists are whole; ``columns`` and ``copies`` hold the same row by row.
     """
-    from genespark.operators.families import LIST_BOUND
-
     fits = columns.groupBy("island_id").agg(F.count(F.lit(1)).alias("n_columns"))
-    cell = columns.join(fits.where(F.col("n_columns") <= LIST_BOUND), "island_id", "left_semi").join(
+    cell = columns.join(
         copies.select("island_id", "family", "contig", "start"), ["island_id", "family"], "left").join(
         classes, "family", "left")
     item = F.struct("column", "family", F.coalesce("dominant_class", F.lit("unannotated")).alias("cls"),

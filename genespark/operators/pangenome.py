@@ -123,8 +123,8 @@ def rescue_funnel(
 def best_rescue_positions(hits: DataFrame) -> DataFrame:
     """Highest-bitscore qualifying hit per (family, strain); ties by contig and start."""
     best = hits.where(F.col("contig") != "").groupBy("family", "short").agg(
-        F.min(F.struct((-F.col("bitscore")).alias("b"), "contig", "start")).alias("h"))
-    return best.select("family", "short", "h.contig", "h.start")
+        F.min(F.struct((-F.col("bitscore")).alias("b"), "contig", "start", "end")).alias("h"))
+    return best.select("family", "short", "h.contig", "h.start", "h.end")
 
 
 def _bin(count: Column, reps: int, cuts: Sequence[float]) -> Column:
@@ -325,15 +325,15 @@ def contig_spans(positions: DataFrame) -> DataFrame:
 
 def family_positions(genes: DataFrame, rescue: DataFrame | None = None) -> DataFrame:
     """0-based gene rank per strain over all genes and rescue hits; then genes without family are dropped."""
-    rows = genes.select("short", "contig", F.col("start"), F.col("protein_id").alias("id"), "family")
+    rows = genes.select("short", "contig", "start", "end", F.col("protein_id").alias("id"), "family")
     if rescue is not None:
         rows = rows.unionByName(rescue.select(
-            "short", "contig", "start", F.concat(F.lit("~"), "family").alias("id"), "family"))
+            "short", "contig", "start", "end", F.concat(F.lit("~"), "family").alias("id"), "family"))
     order = [F.col("contig"), F.col("start"), F.col("id"), F.col("family")]
     run = running(chunk_rows(rows, ["short"], order), ["short"], order,
                   {"rank": ("sum", F.lit(1).cast("bigint"), True)})
     return run.where(F.col("family").isNotNull()).select(
-        "short", "family", "contig", (F.col("rank") - 1).alias("rank"), "start", "id")
+        "short", "family", "contig", (F.col("rank") - 1).alias("rank"), "start", "end", "id")
 
 
 def contig_rank(genes: DataFrame) -> DataFrame:

@@ -142,7 +142,7 @@ def position_fallback(t: Tables):
     prot = g.select("short", "protein_id", F.concat(F.lit("L"), "protein_id").alias("gene_name"))
     by_locus = g.where((k != 0) | (d < 1)).select("short", F.concat(F.lit("L"), "protein_id").alias("locus_tag"), "contig",
                                                 "start", "end")
-    return A.position_status(A.choose_positions(prot, g.where((k != 1) | (d < 3)), by_locus))
+    return A.position_status(A.position_choice(prot, g.where((k != 1) | (d < 3)), by_locus))
 
 
 @query("P21_position_lookup", ctes("fx_genes") + """

@@ -53,8 +53,10 @@ def query_extension(t: Tables):
 
 
 @query("A24_cluster_summary", ctes("fx_clusters") + """
-    select family, count(*) as size, string_agg(member, ',' order by member) as members
-    from fx_clusters group by 1""")
+    select family, block, size, string_agg(member, ',' order by member) as members
+    from (select *, (row_number() over (partition by family order by member) - 1) // 10000 as block,
+                 count(*) over (partition by family) as size from fx_clusters)
+    group by 1, 2, 3""")
 def cluster_summary(t: Tables):
     return FM.cluster_summary(t.clusters)
 

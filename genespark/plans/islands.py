@@ -19,13 +19,13 @@ PAIRS = """
         when 0 then 'starship_explained' when 1 then 'unexplained_physical' else 'trans' end as classification
         from allpairs)"""
 RUNS = """
-    , z as (select p.short, p.contig, p.family, p.rank, p.start, coalesce(f.bin in ('core', 'soft_core'), true) as core
+    , z as (select p.short, p.contig, p.family, p.rank, p.start, p."end", coalesce(f.bin in ('core', 'soft_core'), true) as core
             from pos p left join freq f using (family)),
     y as (select *, cast(sum(case when core then 1 else 0 end) over (partition by short, contig order by rank) as bigint)
               as run from z),
     acc as (select * exclude (core) from y where not core),
     runs as (select short, contig, run, count(*) as size, min(rank) as first_rank, max(rank) as last_rank,
-               min(start) as start, max(start) as "end" from acc group by 1, 2, 3 having count(*) >= 2)"""
+               min(start) as start, max("end") as "end" from acc group by 1, 2, 3 having count(*) >= 2)"""
 ISL = """
     , m as (select distinct short, contig, run, family from acc),
     sup as (select a.short, a.contig, a.run, count(*) as n_supporting_pairs,
@@ -124,13 +124,6 @@ def island_instances(t: Tables):
     return I.instances(acc, islands(t, acc)).select("short", "contig", "run", "size", "start", "end")
 
 
-@query("F1_top_islands", isl_base() + """
-    select island_size, n_strains from (select e.z as island_size, n_strains from isl where n_strains >= 1
-      order by island_size desc, n_strains desc limit 25)""")
-def top_islands(t: Tables):
-    return I.top_islands(islands(t), 1, 25).select("island_size", "n_strains")
-
-
 # a few families stand for an island: the first three members of each
 @query("A42_haplotypes", isl_base() + """
     , im as (select fams || classifications as id, unnest(string_split(fams, ',')) as family from isl),
@@ -150,27 +143,49 @@ REFS = ", refs as (select short, cast(substr(short, 2) as int) as priority from
 SHOWN = REFS + """
     , im as (select {'f': fams, 'c': classifications} as id, e.s as ex, unnest(string_split(fams, ',')) as family,
                len(string_split(fams, ',')) as n from isl),
-    pl as (select im.id, p.short, coalesce(r.priority, 2147483647) as priority, p.contig, min(start) as a,
-             max(start) as b, count(distinct im.family) as k, max(n) as n
-           from im join pos p using (family) left join refs r using (short)
-           where r.short is not null or p.short = im.ex group by 1, 2, 3, 4),
-    bst as (select id, min({'p': priority, 'w': b - a, 's': short, 'c': contig, 'a': a, 'b': b}) as q
-            from pl where k = n group by 1),
-    shown as (select {'f': i.fams, 'c': i.classifications} as id, coalesce(q.s, e.s) as display_strain,
-                q.c as span_contig, q.a as span_start, q.b as span_end
-              from isl i left join bst on bst.id = {'f': i.fams, 'c': i.classifications})"""
+    pl as (select short, family, p.c as contig, p.s as start, p.e as "end" from (
+             select short, family, min({'c': contig, 's': start, 'i': id, 'e': "end"}) as p from pos
+             where id[1] <> '~' group by 1, 2)),
+    okref as (select im.id, r.short, r.priority from im join pl using (family) join refs r using (short)
+              group by 1, 2, 3 having count(*) = max(im.n) and count(distinct contig) = 1),
+    pick as (select id, min({'p': priority, 's': short}) as q from okref group by 1),
+    sh0 as (select i.id, coalesce(q.s, ex) as display_strain from (select distinct id, ex from im) i left join pick using (id)),
+    shown as (select s.id, display_strain, count(pl.family) as n_members_with_coordinates,
+                count(distinct contig) as n_contigs_in_locus,
+                case when count(distinct contig) = 1 then min(contig) end as span_contig,
+                case when count(distinct contig) = 1 then min(start) end as span_start,
+                case when count(distinct contig) = 1 then max("end") end as span_end
+              from sh0 s join im using (id) left join pl on pl.short = display_strain and pl.family = im.family group by 1, 2)"""
+
+
+def shown_of(t: Tables, isl, mem):
+    refs = t.strains.where(F.col("is_rep") == 0).select("short", F.substring("short", 2, 9).cast("int").alias("priority"))
+    return materialize(I.display_strain(isl, mem, placed(t), refs))
 
 
 def shown(t: Tables):
     acc, isl, mem = with_lists(t)
-    refs = t.strains.where(F.col("is_rep") == 0).select("short", F.substring("short", 2, 9).cast("int").alias("priority"))
-    return mem, materialize(I.display_strain(isl, mem, placed(t), refs))
+    return mem, shown_of(t, isl, mem)
 
 
 @query("J24_display_strain", isl_base() + SHOWN + """
-    select display_strain, span_contig, span_start, span_end from shown""")
+    select id.f as member_families, id.c as classifications, display_strain, span_contig, span_start, span_end,
+      n_members_with_coordinates, n_contigs_in_locus from shown""")
 def display_strain(t: Tables):
-    return shown(t)[1].drop("island_id")
+    acc, isl, mem = with_lists(t)
+    return shown_of(t, isl, mem).join(I.member_lists(mem), "island_id").join(
+        isl.select("island_id", "classifications"), "island_id").drop("island_id")
+
+
+@query("F1_top_islands", isl_base() + SHOWN + """
+    select island_size, n_strains, fams as member_families, classifications from (
+      select e.z as island_size, n_strains, fams, classifications, from isl
+      join shown on shown.id = {'f': fams, 'c': classifications} where n_strains >= 2 and span_contig is not null)
+    qualify rank() over (order by island_size desc, n_strains desc) <= 50""")
+def top_islands(t: Tables):
+    acc, isl, mem = with_lists(t)
+    top = I.top_islands(isl, shown_of(t, isl, mem), 2, 50)
+    return top.join(I.member_lists(mem), "island_id").select("island_size", "n_strains", "member_families", "classifications")
 
 
 @query("W18_column_order", isl_base() + SHOWN + """

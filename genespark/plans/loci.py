@@ -143,8 +143,7 @@ def locus_ranks(t: Tables):
 
 @query("F7_drawn_set")
 def drawn_set(t: Tables):
-    r = rank_rows(t).withColumn("presence_rank", -F.col("carriers"))
-    return S.drawn_set(r, 5, 20).select("locus_id", "carriers", "losses", "reason")
+    return S.drawn_set(rank_rows(t), 5, 20).select("locus_id", "carriers", "losses", "reason")
 
 
 @query("F4_candidate_loci", ctes("fx_genes", "fx_presence", "fx_strains") + """

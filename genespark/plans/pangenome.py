@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genespark.operators import pangenome as G
-from genespark.operators.families import bounded_list
 from genespark.plans.registry import query
 from genespark.plans.views import Tables, ctes
 
@@ -307,24 +306,22 @@ def diagnostics(t: Tables):
 
 
 @query("W8_rescue_positions", ctes("fx_genome_hits") + """
-    , q as (select family, short, arg_min({'c': contig, 's': least(sstart, send)},
-              {'b': -bitscore, 'c': contig, 's': least(sstart, send)}) as h
+    , q as (select family, short, min({'b': -bitscore, 'c': contig, 's': least(sstart, send), 'e': greatest(sstart, send)}) as h
             from fx_genome_hits where pident >= 90 and qcovs >= 80 group by 1, 2)
-    select family, short, h.c as contig, h.s as start from q""")
+    select family, short, h.c as contig, h.s as start, h.e as "end" from q""")
 def rescue_positions(t: Tables):
     return G.best_rescue_positions(qualifying(t))
 
 
 # placed genes: two in three genes have a family; rescue hits come from strains' best genome hits
 RANKED = """
-    , allg as (select short, contig, g_start as start, protein_id as id,
+    , allg as (select short, contig, g_start as start, g_start + g_len as "end", protein_id as id,
                  case when g_start % 3 = 0 then null else family end as family from fx_genes
                union all
-               select short, h.c, h.s, concat('~', family), family from (
-                 select family, short, arg_min({'c': contig, 's': least(sstart, send)},
-                   {'b': -bitscore, 'c': contig, 's': least(sstart, send)}) as h
+               select short, h.c, h.s, h.e, concat('~', family), family from (
+                 select family, short, min({'b': -bitscore, 'c': contig, 's': least(sstart, send), 'e': greatest(sstart, send)}) as h
                  from fx_genome_hits where pident >= 100 and qcovs >= 90 group by 1, 2)),
-    pos as (select * from (select short, family, contig, start, id,
+    pos as (select * from (select short, family, contig, start, "end", id,
               row_number() over (partition by short order by contig, start, id, family nulls first) - 1 as rank from allg)
             where family is not null)"""
 
@@ -339,7 +336,7 @@ def _placed(t: Tables):
 
 
 @query("W2_family_rank", ctes("fx_genes", "fx_genome_hits") + RANKED
-       + "select short, family, contig, rank, start, id from pos")
+       + 'select short, family, contig, rank, start, "end", id from pos')
 def family_rank(t: Tables):
     return placed(t)
 

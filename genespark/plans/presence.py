@@ -284,7 +284,7 @@ def novelties(t: Tables):
 
 @query("A12_species_novelties", base(evalue="1e-50") + """
     , fams as (%s), sizes as (select family, count(*) as n from fams group by 1)
-    select c.protein_id, c.source_proteome, s.species, c.n_in, f.family, coalesce(z.n, 1) as family_size,
+    select c.protein_id, c.source_proteome, s.species, c.n_in, f.family, coalesce(z.n, 1) as family_size, 0 as block,
            (select string_agg(m.member, ',' order by m.member) from fams m
             where m.family = f.family and m.member <> c.protein_id) as other_members
     from counts c join fx_samples s on s.short = c.source_proteome
@@ -295,7 +295,7 @@ def species_novelties(t: Tables):
     from genespark.operators.families import species_novelties as op
     found = P.strict_candidates(cells(t, **STRICT), t.samples, 0.05)
     return op(found, t.samples, part_families(t)).select(
-        "protein_id", "source_proteome", "species", "n_in", "family", "family_size", "other_members")
+        "protein_id", "source_proteome", "species", "n_in", "family", "family_size", F.col("block").cast("int").alias("block"), "other_members")
 
 
 @query("K1_wide_matrix", base() + "select protein_id, source_proteome, " + ", ".join(

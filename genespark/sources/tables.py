@@ -177,7 +177,7 @@ def genome_files_to_pool(files: DataFrame, taxonomy: DataFrame) -> tuple[DataFra
     """
     part = F.split("basename", "_")
     species = F.concat_ws(" ", part[0], F.substring_index(F.get(part, F.lit(1)), ".", 1))
-    strain = F.substring_index(F.array_join(F.slice(part, 3, 1000), "_"), ".", 1)
+    strain = F.substring_index(F.array_join(F.slice(part, F.lit(3), F.greatest(F.size(part), F.lit(1))), "_"), ".", 1)
     rows = files.withColumn("species", F.when(F.size(part) >= 2, species)).withColumn("strain", strain).withColumn(
         "_key", F.lower("species"))
     cell = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))

@@ -58,7 +58,8 @@ def parse(df: DataFrame) -> DataFrame:
     rest = F.concat(
         F.when(first_ref.isNotNull(), F.array(first_ref)).otherwise(F.filter(named, lambda x: F.lit(False))),
         F.filter(named, lambda x: x["db"] != "RefSeq"))
-    refs = F.slice(F.split(F.col("value"), r"(?m)^RN   "), 2, 100_000)
+    parts = F.split(F.col("value"), r"(?m)^RN   ")
+    refs = F.slice(parts, F.lit(2), F.size(parts))
     pubs = F.transform(refs, lambda r: F.concat_ws(
         "~", F.regexp_extract(r, r"PubMed=(\d+)", 1), F.regexp_extract(r, r"DOI=([^;\s]+)", 1)))
     rec = _one(r"^DE   RecName: Full=([^;{]+)")
