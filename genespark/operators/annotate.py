@@ -185,10 +185,11 @@ def add_go(rows: DataFrame, pfam2go: DataFrame) -> DataFrame:
 
 def presence_string(cells: DataFrame, genomes: list[str]) -> DataFrame:
     """One character per genome, in genome order; a protein has at most one cell per genome."""
-    have = cells.groupBy("source_proteome", "protein_id").agg(F.collect_set("proteome").alias("_g"))
-    bits = F.transform(F.array(*[F.lit(g) for g in genomes]), lambda g: F.array_contains("_g", g).cast("int").cast("string"))
-    return have.select("source_proteome", "protein_id", F.array_join(bits, "").alias("presence"),
-                       F.size("_g").cast("bigint").alias("n_present"))
+    place = cells.sparkSession.createDataFrame(list(zip(genomes, range(len(genomes)), strict=True)), "proteome string, _i int")
+    have = cells.join(place, "proteome", "left").groupBy("source_proteome", "protein_id").agg(
+        F.array_sort(F.collect_set("_i")).alias("_p"), F.countDistinct("proteome").alias("n_present"))
+    gaps = F.zip_with(F.concat("_p", F.array(F.lit(len(genomes)))), F.concat(F.array(F.lit(-1)), "_p"), lambda a, b: F.repeat(F.lit("0"), a - b - 1))
+    return have.select("source_proteome", "protein_id", F.array_join(gaps, "1").alias("presence"), "n_present")
 
 
 def novelty_rows(

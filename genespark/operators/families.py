@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.functions.exprs import count_if, ratio
 from genespark.operators.joins import split_join
 from genespark.operators.presence import band_sizes
-from genespark.operators.ordered import interval_union, rank_within, values_at
+from genespark.operators.ordered import rank_within, values_at
 
 LIST_ROWS = 10_000  # members in one row of a member list; a larger family has several numbered rows
 
@@ -87,12 +87,24 @@ def species_novelties(found: DataFrame, samples: DataFrame, members: DataFrame)
         "other_members": F.when(F.size(others) > 0, F.array_join(others, ","))}).drop("list")
 
 
+def short_union(hits: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """``covered`` positions of closed intervals on a query, per key.
+
+    Starts are distinct per key, so a key has no more rows than the query has
+    positions and a plain window holds it.
+    """
+    spans = hits.groupBy(*keys, start).agg(F.max(end).alias(end))
+    before = Window.partitionBy(*keys).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
+    fresh = spans.withColumn("_from", F.greatest(F.col(start), F.coalesce(F.max(end).over(before) + 1, F.col(start))))
+    return fresh.groupBy(*keys).agg(F.sum(F.greatest(F.lit(0), F.col(end) - F.col("_from") + 1)).cast("bigint").alias("covered"))
+
+
 def domain_coverage(hits: DataFrame, domain_evalue: float | None = 1e-5) -> DataFrame:
     """W7 per (proteome, family, target): merged profile positions, profile length and full E."""
     if domain_evalue is not None:
         hits = hits.where(F.col("i_evalue") < domain_evalue)
     keys = ["proteome", "query", "target"]
-    spans = interval_union(hits, keys, "hmm_from", "hmm_to", "covered")
+    spans = short_union(hits, keys, "hmm_from", "hmm_to")
     heads = hits.groupBy(*keys).agg(F.min("qlen").alias("qlen"), F.min("full_evalue").alias("full_evalue"))
     return heads.join(spans, keys)
 
@@ -156,9 +168,8 @@ def genome_hit_coverage(hits: DataFrame, lengths: DataFrame, evalue: float = 1e-
     """Per (query, genome) covered share of the query (at most 1), HSP count and best E."""
     ok = hits.where(F.col("evalue") <= evalue)
     keys = ["query", "genome"]
-    spans = interval_union(
-        ok.select(*keys, F.least("qstart", "qend").alias("a"), F.greatest("qstart", "qend").alias("b")),
-        keys, "a", "b", "covered")
+    spans = short_union(
+        ok.select(*keys, F.least("qstart", "qend").alias("a"), F.greatest("qstart", "qend").alias("b")), keys, "a", "b")
     head = ok.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_hsps"), F.min("evalue").alias("best_evalue"),
         F.min(F.least("qstart", "qend")).alias("span_start"), F.max(F.greatest("qstart", "qend")).alias("span_end"))

@@ -176,13 +176,14 @@ def collapse_rows(rows: DataFrame) -> DataFrame:
 
 
 def species_counts(rows: DataFrame, strains: DataFrame) -> DataFrame:
-    """Strains per class and species; strains without any copy count as uninformative."""
+    """Strains per class and species, for every locus and species; strains without any copy are uninformative."""
+    classes = ["full", "partial", "empty", "model_difference", "variable_gap"]
     sp = strains.select("short", "species")
-    per = rows.join(sp, "short").groupBy("locus_id", "species").agg(
-        F.count(F.lit(1)).alias("_n"), *[count_if(F.col("row_class") == c).alias(c) for c in ("full", "partial", "empty")])
+    per = rows.join(sp, "short").groupBy("locus_id", "species").agg(*[count_if(F.col("row_class") == c).alias(c) for c in classes])
     size = sp.groupBy("species").agg(F.count(F.lit(1)).alias("total"))
-    return per.join(size, "species").select("locus_id", "species", "full", "partial", "empty", (
-        F.col("total") - F.col("full") - F.col("partial") - F.col("empty")).alias("uninformative"))
+    every = rows.select("locus_id").distinct().withColumn("_s", F.explode(size.agg(F.collect_list(F.struct("species", "total"))).scalar()))
+    out = every.select("locus_id", "_s.species", "_s.total").join(per, ["locus_id", "species"], "left").fillna(0, classes)
+    return out.select("locus_id", "species", *classes, (F.col("total") - sum(F.col(c) for c in classes)).alias("uninformative"))
 
 
 def breakpoints(cells: DataFrame, rows: DataFrame, strains: DataFrame) -> DataFrame:

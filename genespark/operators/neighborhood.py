@@ -22,17 +22,18 @@ def pair_counts(genes: DataFrame, max_bp: int = 100_000, min_gap: int = 11) -> D
     """Gene pairs per (module, strain, perm), same-family pairs left out.
 
     ``informative`` pairs lie on one contig at least ``min_gap`` ranks apart,
-    ``colocalized`` ones also within ``max_bp``. Every count is a range frame,
-    minus the same count inside the family; no pair is built.
+    ``colocalized`` ones also within ``max_bp``. Every count is made of frames
+    that start at the first row, so each is one pass, minus the same count inside
+    the family; no pair is built.
     """
     def frames(group):
         by_rank = Window.partitionBy(*group).orderBy("rank")
         by_start = Window.partitionBy(*group).orderBy("start")
         n = F.count(F.lit(1))
-        far = n.over(by_rank.rangeBetween(min_gap, Window.unboundedFollowing))
-        later = n.over(by_rank.rangeBetween(0, Window.unboundedFollowing))
-        near_bp = n.over(by_start.rangeBetween(Window.unboundedPreceding, max_bp)) - n.over(
-            by_rank.rangeBetween(Window.unboundedPreceding, min_gap - 1))
+        upto = lambda k: n.over(by_rank.rangeBetween(Window.unboundedPreceding, k))
+        every = n.over(Window.partitionBy(*group))
+        far, later = every - upto(min_gap - 1), every - upto(-1)
+        near_bp = n.over(by_start.rangeBetween(Window.unboundedPreceding, max_bp)) - upto(min_gap - 1)
         return later - 1, far, F.greatest(F.lit(0), near_bp)
     same, far, near = frames([*UNIT, "contig"])
     f_same, f_far, f_near = frames([*UNIT, "contig", "family"])

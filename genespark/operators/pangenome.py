@@ -46,11 +46,12 @@ def absent_cells(matrix: DataFrame, families: DataFrame, strains: DataFrame) ->
     """(strain, family) cells with no presence, as rescue queries.
 
     A strain misses most families of a large pangenome, so the answer itself
-    has families x strains rows; each strain row carries the family list in
-    blocks instead of one product join.
+    has families x strains rows; each strain row meets the family list in as
+    many blocks as leave about a million cells to a block.
     """
-    blocks = families.select("family", F.pmod(F.xxhash64("family"), F.lit(64)).alias("_block")).repartition("_block")
-    spread = strains.select("short", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("_block"))
+    n = max(1, -(-families.count() * strains.count() // 1_000_000))
+    blocks = families.select("family", F.pmod(F.xxhash64("family"), F.lit(n)).alias("_block"))
+    spread = strains.select("short", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("_block"))
     every = spread.join(blocks, "_block").select("family", "short")
     return every.join(matrix.select("family", "short"), ["family", "short"], "left_anti")
 

@@ -239,7 +239,12 @@ def sample_selection(t: Tables):
     return S.select_samples(s, "o4", None, ("o7",), 3)
 
 
-@query("F6_short_names")
+@query("F6_short_names", """
+    select species, case when k = 1 then base else substr(base, 1, 8 - length(cast(k as varchar))) || k end as short from (
+      select species, base, row_number() over (partition by base order by species) as k from (
+        select distinct species, upper(g[1]) || lower(substr(g, 2)) || e as base from (
+          select c_mktsegment || ' ' || x || ' ' || c_name as species, substr(c_mktsegment, 1, 4) as g, substr(x, 1, 4) as e
+          from (select *, ['alba', 'nigra', 'rubra'][c_custkey % 3 + 1] as x from customer))))""")
 def short_names(t: Tables):
     sp = t.customer.select(F.concat(F.col("c_mktsegment"), F.lit(" "), F.element_at(F.array(
         F.lit("alba"), F.lit("nigra"), F.lit("rubra")), (F.col("c_custkey") % 3 + 1).cast("int")), F.lit(" "), "c_name").alias("species"))

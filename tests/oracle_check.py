@@ -17,12 +17,15 @@ sys.path.insert(0, ROOT)
 
 
 def session():
+    import tempfile
+
     from pyspark.sql import SparkSession
 
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="genespark-tests-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
