@@ -29,6 +29,7 @@ BATCHES = 8  # batches that meet a tile in one task
 BITS = 12  # of the locality code
 EXACT = 1 << 53
 LOWEST = -np.iinfo("i8").max  # no score; its negative exists
+MOST = np.iinfo("i8").max - 1  # scores beyond a long are held at its end
 
 
 def whole_numbers(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64) -> DataFrame:
@@ -131,7 +132,8 @@ def search(queries: tuple[np.ndarray, np.ndarray], parts: list[tuple[np.ndarray,
         for b in np.unique(order[active, r]).tolist():
             mine = active[order[active, r] == b]
             ids, m = parts[b]
-            score = (q[mine] @ m.astype(kind).T).astype("i8")
+            score = q[mine] @ m.astype(kind).T
+            score = (np.clip(score, -MOST, MOST) if kind is object else score).astype("i8")
             score[ids[None, :] == qid[mine][:, None]] = low
             every = np.broadcast_to(ids, score.shape)
             best[mine], who[mine] = _merge(np.hstack([best[mine], score]), np.hstack([who[mine], every]), k)
@@ -161,8 +163,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     Both tables have vec_id and v (array<bigint>). The score is the inner product;
     ties go to the smaller vec_id. Candidates are all vectors of the query's
     length with another vec_id; a repeated candidate counts as often as it
-    stands there, a repeated query id is one query (its smallest vector). A query
-    without candidates has no row; empty tables give an empty result.
+    stands there, a repeated query id is one query (its smallest vector). Scores
+    are exact; one beyond the range of a long is held at its end. A query without candidates has no row; empty tables give an empty result.
     """
     packed = "number bigint, payload binary"
     coded = vectors.select("vec_id", "v").mapInArrow(_code, "vec_id bigint, v array<bigint>, width int, code int")
