@@ -129,23 +129,22 @@ def feature_map(df: DataFrame) -> DataFrame:
 
 
 def closure(edges: DataFrame) -> DataFrame:
-    """(node, tip) for every node and the tips below it, from (parent, child) edges.
+    """(node, tip) for every node and the tips below it, from (parent, child) edges of a tree.
 
-    Paths are doubled every round, so the rounds grow with the logarithm of the depth.
+    Round k knows the ancestors up to distance 2**k and every node's 2**k-th
+    ancestor; that one ancestor's list is what the next distances add, so each
+    pair is made once and the rounds grow with the logarithm of the depth.
     """
     from genespark.session import materialize
     tips = edges.select(F.col("child").alias("tip")).distinct().join(
         edges.select(F.col("parent").alias("tip")).distinct(), "tip", "left_anti")
-    reach = materialize(edges.select(F.col("parent").alias("node"), F.col("child").alias("below")).distinct())
-    n = reach.count()
-    while True:
-        step = reach.join(reach.select(F.col("node").alias("below"), F.col("below").alias("_b")), "below").select(
-            "node", F.col("_b").alias("below"))
-        reach = materialize(reach.unionByName(step).distinct())
-        m = reach.count()
-        if m == n:
-            break
-        n = m
+    jump = materialize(edges.select(F.col("child").alias("below"), F.col("parent").alias("up")).distinct())
+    reach = jump.select("below", F.col("up").alias("node"))
+    while jump.limit(1).count():
+        more = jump.join(reach.withColumnRenamed("below", "up"), "up").select("below", "node")
+        reach = materialize(reach.unionByName(more))
+        jump = materialize(jump.join(jump.select(F.col("below").alias("up"), F.col("up").alias("_u")), "up").select(
+            "below", F.col("_u").alias("up")))
     own = tips.select(F.col("tip").alias("node"), "tip")
     return reach.join(tips.withColumnRenamed("tip", "below"), "below", "left_semi").select(
         "node", F.col("below").alias("tip")).unionByName(own)

@@ -13,18 +13,22 @@ from pyspark.sql.streaming import StreamingQuery
 from genespark.operators.presence import compete, presence_cells
 
 KEY = ["query_proteome", "query_id", "target_proteome", "target_id"]
+STORED = "query_id string, target_proteome string, target_id string, evalue double, query_proteome string"
 
 
 def merge_batch(batch: DataFrame, batch_id: int, store: str, out: str, paralogs: DataFrame, **rules) -> None:
     """Store the batch's best hit per key, then rewrite the presence of the genomes it names.
 
-    Each batch has a folder of its own, so a retried batch replaces itself.
+    Each batch has a folder of its own, so a retried batch replaces itself, and
+    in it one per genome: only the touched genomes' folders are read.
     """
     spark = batch.sparkSession
-    batch.groupBy(*KEY).agg(F.min("evalue").alias("evalue")).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-    touched = spark.read.parquet(f"{store}/batch={batch_id}").select("query_proteome").distinct()
-    hits = spark.read.parquet(store).join(touched, "query_proteome", "left_semi").groupBy(*KEY).agg(
-        F.min("evalue").alias("evalue"))
+    batch.groupBy(*KEY).agg(F.min("evalue").alias("evalue")).write.mode("overwrite").partitionBy("query_proteome").parquet(
+        f"{store}/batch={batch_id}")
+    stored = spark.read.schema(STORED)
+    touched = stored.parquet(f"{store}/batch={batch_id}").select("query_proteome").distinct()
+    names = [r["query_proteome"] for r in touched.collect()]  # as many as genomes in the batch
+    hits = stored.parquet(store).where(F.col("query_proteome").isin(names)).groupBy(*KEY).agg(F.min("evalue").alias("evalue"))
     cells = presence_cells(compete(hits, paralogs, **rules))
     # one marker row per genome, so that a genome that lost every call is rewritten too
     marks = touched.select(F.col("query_proteome").alias("source_proteome"), *[

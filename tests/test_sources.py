@@ -95,3 +95,48 @@ def test_checks_stop_quiet_failures(spark):
         K.require_some_known(one, spark.createDataFrame([("b",)], "short string"), "short", "strains")
     with pytest.raises(K.InputError):
         K.require_measured(one.withColumn("q", F.lit(None).cast("int")), "q", F.lit(True), "floor")
+
+
+def test_closure_of_a_comb_makes_each_pair_once(spark):
+    from genespark.sources.tables import closure
+    n = 700
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(n)] + [(f"n{i}", f"t{i}") for i in range(n + 1)]
+    got = closure(spark.createDataFrame(edges, "parent string, child string"))
+    want = (n + 1) * (n + 2) // 2 + n + 1
+    assert got.count() == want == got.distinct().count()
+
+
+def test_short_names_settle_collisions_like_one_after_another(spark):
+    names = [f"{g} {e} {i}" for i in range(15) for g, e in (("Abcd", "efgh"), ("Abcd", "efgi"), ("Abcd", "efg"), ("X", ""))]
+    used, want = set(), {}
+    for s in sorted(names):
+        parts = s.split()
+        epithet = "".join(c for c in parts[1] if c.isalpha())[:4]
+        base = (parts[0][:4].capitalize() + epithet)[:8]
+        short, k = base, 2
+        while short in used:
+            short, k = f"{base[:8 - len(str(k))]}{k}", k + 1
+        used.add(short)
+        want[s] = short
+    got = {r.species: r.short for r in short_names(spark.createDataFrame([(s,) for s in names], "species string")).collect()}
+    assert got == want
+
+
+def test_gene_ids_lose_transcript_and_protein_suffixes(spark):
+    from pyspark.sql import functions as F
+
+    from genespark.functions.ids import gene_of_protein, species_key
+    ids = {"NCU00499-t26_1-p1": "NCU00499", "Afu1g01620-T-p1": "Afu1g01620", "G-T1-p1": "G", "G-p2": "G", "G1": "G1"}
+    got = spark.createDataFrame([(k,) for k in ids], "id string").select("id", gene_of_protein(F.col("id")).alias("g"))
+    assert {r.id: r.g for r in got.collect()} == ids
+    names = {"Mucor cf x": "", "Mucor spp. a": "", "Mucor aff x": "", "[Candida] glabrata": "candida glabrata", "Mucor": ""}
+    got = spark.createDataFrame([(k,) for k in names], "n string").select("n", species_key(F.col("n")).alias("k"))
+    assert {r.n: r.k for r in got.collect()} == names
+
+
+def test_large_families_are_listed_in_full(spark):
+    from genespark.operators.families import cluster_summary
+    rows = [(f"m{i:06d}", "big") for i in range(10_001)] + [("a", "small")]
+    got = cluster_summary(spark.createDataFrame(rows, "member string, family string")).collect()
+    assert sorted((r.family, r.block, r["size"], len(r.members.split(","))) for r in got) == [
+        ("big", 0, 10_001, 10_000), ("big", 1, 10_001, 1), ("small", 0, 1, 1)]
