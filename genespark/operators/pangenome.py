@@ -214,9 +214,9 @@ def strain_content(matrix: DataFrame, freq: DataFrame, strains: DataFrame) -> Da
 
 
 def terminus_enrichment(
-    genes: DataFrame, contigs: DataFrame, matrix: DataFrame, freq: DataFrame, window_bp: int = 1000
+    genes: DataFrame, contigs: DataFrame, matrix: DataFrame, freq: DataFrame, strains: DataFrame, window_bp: int = 1000
 ) -> DataFrame:
-    """Genes at contig ends, all and private (families carried by exactly one strain)."""
+    """Genes at contig ends, all and private (families carried by exactly one strain); every strain has a row."""
     single = freq.where(F.col("bin") == "singleton").select("family")
     private = matrix.join(single, "family", "left_semi").groupBy("family").agg(
         F.count(F.lit(1)).alias("n"), F.min("short").alias("short")).where(F.col("n") == 1).select(
@@ -228,6 +228,7 @@ def terminus_enrichment(
     out = rows.groupBy("short").agg(
         F.count(F.lit(1)).alias("n_all_proteins"), count_if(end).alias("n_all_at_terminus"),
         count_if(mine).alias("n_private_proteins"), count_if(mine & end).alias("n_private_at_terminus"))
+    out = strains.select("short").join(out, "short", "left").fillna(0)
     pct = lambda a, b: F.round(100 * ratio(F.col(a), F.col(b)), 2)
     return out.withColumn("pct_private_at_terminus", pct("n_private_at_terminus", "n_private_proteins")).withColumn(
         "pct_all_at_terminus", pct("n_all_at_terminus", "n_all_proteins"))

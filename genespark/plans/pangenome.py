@@ -153,12 +153,12 @@ def strain_content(t: Tables):
                  o.short is not null as p
           from fx_genes e join ctg using (short, contig)
           left join one o on o.family = e.family and o.short = e.short)
-    select short, count(*) as n_all_proteins, count(*) filter (where e) as n_all_at_terminus,
+    select short, count(p) as n_all_proteins, count(*) filter (where e) as n_all_at_terminus,
            count(*) filter (where p) as n_private_proteins, count(*) filter (where p and e) as n_private_at_terminus,
            round(100 * count(*) filter (where p and e) / nullif(count(*) filter (where p), 0), 2)
              as pct_private_at_terminus,
-           round(100 * count(*) filter (where e) / count(*), 2) as pct_all_at_terminus
-    from g group by 1""".replace("having count(*) <= 20", "").replace(
+           round(100 * count(*) filter (where e) / nullif(count(p), 0), 2) as pct_all_at_terminus
+    from fx_strains left join g using (short) group by 1""".replace("having count(*) <= 20", "").replace(
         "select family, min(short) as short from fx_presence join freq using (family)\n"
         "              where bin in ('singleton', 'cloud') group by 1",
         "select family, min(short) as short from fx_presence join freq using (family)\n"
@@ -168,7 +168,7 @@ def terminus_enrichment(t: Tables):
     # private here: shell families carried by exactly one non-representative strain
     pool = G.representatives(matrix(t), t.strains.withColumn("is_rep", 1 - F.col("is_rep")))
     rare = freq(t).withColumn("bin", F.when(F.col("bin") == "shell", "singleton").otherwise("core"))
-    return G.terminus_enrichment(genes(t), contigs(t), pool, rare, 40_000)
+    return G.terminus_enrichment(genes(t), contigs(t), pool, rare, t.strains, 40_000)
 
 
 CORR = """

@@ -55,7 +55,10 @@ def test_screened_pairs_match_brute_force(spark):
 def test_islands_break_at_core_and_contig(spark):
     freq = spark.createDataFrame([("c", "core"), ("a", "shell"), ("b", "cloud"), ("d", "singleton")], "family string, bin string")
     pos = [("s", "k1", f, i, i) for i, f in enumerate(["a", "b", "c", "a", "x", "b", "d"])] + [("s", "k2", "a", 7, 7), ("s", "k2", "b", 9, 9)]
-    df = spark.createDataFrame(pos, "short string, contig string, family string, rank bigint, start bigint")
+    df = spark.createDataFrame([(*p, p[4] + (50 if p[2] == "a" else 5)) for p in pos],
+                               "short string, contig string, family string, rank bigint, start bigint, end bigint")
+    ends = {(r.contig, r.first_rank): r.end for r in I.runs_of(I.accessory_rows(df, freq)).collect()}
+    assert ends == {("k1", 0): 50, ("k1", 5): 11, ("k2", 7): 57}   # the largest gene end, not the end of the last gene
     got = {(r.contig, r.first_rank, r.last_rank, r["size"]) for r in I.runs_of(I.accessory_rows(df, freq)).collect()}
     assert got == {("k1", 0, 1, 2), ("k1", 5, 6, 2), ("k2", 7, 9, 2)}   # x is unknown, so core; a gap in rank does not break
 
