@@ -4,10 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_record: ContextVar[list[DataFrame] | None] = ContextVar("written_tables", default=None)
+
+
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables that ``materialize`` writes inside the block, for a caller that deletes them after use."""
+    tables: list[DataFrame] = []
+    token = _record.set(tables)
+    try:
+        yield tables
+    finally:
+        _record.reset(token)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -36,4 +51,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/genespark/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if (tables := _record.get()) is not None:
+        tables.append(table)
+    return table
