@@ -24,9 +24,11 @@ ranks come from range-partitioned chunks and are then only shifted.
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from bisect import bisect_left
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,67 +41,66 @@ from genespark.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-KNOWN_WORDS = 200_000  # words whose ids a task remembers at a time
+KNOWN_WORDS = 300_000  # words whose ids a worker remembers at a time
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-class WordIds:
+class WordIds(dict):
     """Ids of texts as little-endian 32-bit bytes, equal to those of the tokenizer file.
 
-    A word's ids do not depend on its neighbours, so a task asks the library
-    once per distinct word and keeps a bounded number of them.
+    A word's ids do not depend on its neighbours, so a worker asks the model once
+    per distinct word and remembers a bounded number of them.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = pretokens.load(path)
         self.special = pretokens.special_strings(self.tokenizer)
-        self.known: dict[str, bytes] = {}
+        self.model, self.letters = self.tokenizer.model, pretokens.byte_letters()
 
-    def _bytes(self, ids) -> bytes:
-        import numpy as np
+    def __missing__(self, word: str) -> bytes:
+        """Ids of a word that is lower-cased and split off already, so only the model is asked."""
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = ids = _packed([t.id for t in self.model.tokenize(word.translate(self.letters))])
+        return ids
 
-        return np.array(ids, "<u4").tobytes()
-
-    def _words(self, text: str) -> list[str] | None:
-        """Words of a text without special strings; None if only the library splits it right."""
-        low = text.lower()
-        if pretokens.WIDE.search(text) or pretokens.WIDE.search(low) or "İ" in text:
-            return None
-        return pretokens.word_pattern().findall(low)
-
-    def __call__(self, text: str) -> bytes:
+    def of(self, text: str) -> bytes:
         parts = self.special.split(text) if "<|" in text else [text]
         out = []
         for k, part in enumerate(parts):
+            low = part.lower()
             if k % 2:
-                out.append(self._bytes([self.tokenizer.token_to_id(part)]))
-                continue
-            words = self._words(part)
-            if words is None:
-                out.append(self._bytes(self.tokenizer.encode(part, add_special_tokens=False).ids))
-                continue
-            new = list(set(words).difference(self.known))
-            if new:
-                if len(self.known) > KNOWN_WORDS:
-                    self.known.clear()
-                    new = list(set(words))
-                for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    self.known[w] = self._bytes(e.ids)
-            out += map(self.known.__getitem__, words)
+                out.append(_packed([self.tokenizer.token_to_id(part)]))
+            elif pretokens.WIDE.search(part) or pretokens.WIDE.search(low) or "İ" in part:
+                # only the library normalises and splits such texts right
+                out.append(_packed(self.tokenizer.encode(part, add_special_tokens=False).ids))
+            else:
+                out += map(self.__getitem__, pretokens.word_pattern().findall(low))
         return b"".join(out)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@lru_cache(1)
+def word_ids(path: str) -> WordIds:
+    """One per worker, so tasks that follow each other share what it remembers."""
+    return WordIds(path)
+
+
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length and crc32 of its ids (the document's end id included)."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches):
-        ids_of = WordIds(path)
+        ids_of = word_ids(path)
         end = END_ID.to_bytes(4, "little")
         for batch in slices(batches, "text", 1024, 4 << 20):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = memoryview(ids_of(text or "") + end)
+                ids = memoryview(ids_of.of(text or "") + end)
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -178,7 +179,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` from 1 to ``capacity``.
 
     ``offset`` is the place in the sequence, gapless from 0. Repeated rows are
-    separate pieces. An empty table gives an empty result. Columns that start
+    separate pieces. ``pieces`` is read twice (range sorting samples it first),
+    so pass a written table. An empty table gives an empty result. Columns that start
     with an underscore, sequence_id, offset and slot are the operator's own.
     """
     spark = pieces.sparkSession
@@ -238,4 +240,4 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> Data
     Repeated rows are packed once each, a null doc_id stays null, other columns
     are not read.
     """
-    return pack_pieces(pieces_of(docs, path, capacity), capacity)
+    return pack_pieces(materialize(pieces_of(docs, path, capacity)), capacity)

@@ -37,6 +37,20 @@ def word_pattern() -> re.Pattern:
     return re.compile(f"'(?:[stmd]|re|ve|ll)|[{letter}]+|[{digit}]|[^{SPACE}{letter}{digit}]+")
 
 
+@lru_cache(1)
+def byte_letters() -> dict[int, str]:
+    """Code point below END (or of general punctuation) -> its UTF-8 bytes in the letters that byte-level vocabularies use.
+
+    Fixed values: a visible Latin-1 character stands for the byte of its own
+    number, the other bytes follow in order from U+0100.
+    """
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letter = {b: chr(b) for b in own} | {b: chr(0x100 + n) for n, b in enumerate(b for b in range(256) if b not in own)}
+    points = [*range(END), *range(0x2010, 0x2028)]
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in points}
+
+
+@lru_cache(4)
 def load(path: str):
     """The tokenizer of a file, with one thread: Spark runs a task per core."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
