@@ -130,7 +130,8 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, disclosure: float = D
     terms = materialize(both.select("term").distinct())
     words = docs.select(F.explode(F.array_distinct(F.transform(
         F.regexp_extract_all(F.lower(whole_text()), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))).alias("term"))
-    n_term = words.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # Counted before the join, so a frequent term is a few partial sums and not a row per document.
+    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(terms, "term")
     n_entity = contexts.select("_doc", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     total = docs.count()
     share = F.log(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(F.lit(total) / F.col("n_entity"))
