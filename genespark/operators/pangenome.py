@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.functions.exprs import at_terminus, count_if, flag, ratio
+from genespark.operators.checks import require_some_known
 from genespark.operators.joins import overlap_semi, split_join
 from genespark.session import materialize
 from genespark.operators.ordered import average_rank, chunk_rows, median_within, running
@@ -23,7 +24,7 @@ COUNTED = ["core", "soft_core", "shell", "cloud", "singleton", "nonrep_only", "o
 def copy_matrix(members: DataFrame, strains: DataFrame, sep: str = "|") -> DataFrame:
     """Members per (family, strain); the strain is the id part before the first separator."""
     own = members.withColumn("short", F.substring_index("member", sep, 1))
-    known = own.join(strains.select("short"), "short", "left_semi")
+    known = require_some_known(own, strains, "short", "member prefixes").join(strains.select("short"), "short", "left_semi")
     return known.groupBy("family", "short").agg(F.count(F.lit(1)).alias("copies")).withColumn(
         "state", F.lit("present"))
 

@@ -176,20 +176,20 @@ def candidate_list(t: Tables):
     return pairwise_candidates(t)
 
 
-@query("K3_species_files", ctes("fx_genes") + "select short as source_proteome, protein_id, family from fx_genes where g_start % 7 = 0")
+@query("K3_species_files", ctes("fx_genes") + "select short as source_proteome, protein_id, family from fx_genes")
 def species_files(t: Tables):
     from genespark.sources.sinks import write_by_species
     path = scratch(t, "species")
-    write_by_species(t.genes.where(F.col("g_start") % 7 == 0).select(F.col("short").alias("source_proteome"), "protein_id", "family"), path)
+    write_by_species(t.genes.select(F.col("short").alias("source_proteome"), "protein_id", "family"), path)
     return t.spark.read.option("header", True).option("sep", "\t").csv(path)
 
 
-@query("K5_long_matrix", ctes("fx_presence") + "select family, short, copies, 'present' as state from fx_presence where family in ('F1', 'F20')")
+@query("K5_long_matrix", ctes("fx_presence") + "select family, short, copies, 'present' as state from fx_presence")
 def long_matrix(t: Tables):
     from genespark.sources.sinks import write_matrix
     path = scratch(t, "matrix")
     write_matrix(matrix(t), path)
-    return t.spark.read.parquet(path).where(F.col("family").isin("F1", "F20"))
+    return t.spark.read.parquet(path)
 
 
 @query("J23_unknown_ids", ctes("fx_genes", "fx_presence") + """

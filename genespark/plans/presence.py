@@ -310,3 +310,13 @@ def wide_matrix(t: Tables):
     + " from cells group by 1, 2")
 def wide_evalues(t: Tables):
     return P.to_wide(cells(t), [f"N{i}" for i in range(25)], "best_evalue")
+
+
+@query("K6_evidence_sidecar", base() + """
+    select source_proteome, protein_id, proteome, best_evalue from cells where best_evalue is not null""")
+def evidence_sidecar(t: Tables):
+    from genespark.plans.more import scratch
+    from genespark.sources.sinks import write_evidence
+    path = scratch(t, "evidence")
+    write_evidence(cells(t).select("source_proteome", "protein_id", "proteome", "best_evalue"), path)
+    return t.spark.read.parquet(path)
