@@ -1,9 +1,12 @@
 """Substring deduplication by content-defined chunking.
 
-A gear rolling hash runs over the bytes of a text; where it falls below a bound
-at white space, a chunk ends. A cut depends on the ``WINDOW`` bytes before it
-alone, so an insertion moves no cuts further on and a passage that stands in two
-documents is cut alike in both, but for its ends. Chunks are deduplicated by
+A gear rolling hash runs over the bytes of a text; of every ``NEAR`` places in a
+row where a cut may fall, a chunk ends at the one with the smallest hash. A cut
+depends on the bytes around it alone, so an insertion moves no cuts further on and
+a passage that stands in two documents is cut alike in both, but for its ends: at
+most ``NEAR`` + 3 + ``LEAST`` - 1 words at its head and ``NEAR`` at its tail are lost,
+so a passage of 50 words always has ``MIN_WORDS`` in whole chunks, if no word stands
+there several times in a row. Chunks are deduplicated by
 digest: the first occurrence (smallest doc_id, then place) stays. A later one is
 removed where it lies in a run of consecutive repeated chunks of at least
 ``MIN_WORDS`` words, so short phrases that many texts share are left alone.
@@ -19,35 +22,52 @@ from pyspark.sql import functions as F
 from genespark.llm.common import row_key, slices
 from genespark.session import materialize
 
-WINDOW = 16  # bytes; the gear hash has as many bits
-CUT = 1 / 6  # share of white-space places that end a chunk
-MIN_BYTES = 12
+WINDOW = 8  # bytes; each moves the 64 bits of the gear hash by 8
+NEAR = 12  # places among which the smallest hash ends a chunk
+LEAST = 4  # words that a digest covers
 MAX_BYTES = 4096
 MIN_WORDS = 20
-_GEAR = np.random.default_rng(20).integers(0, 1 << WINDOW, 256, dtype="u2")
+_GEAR = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype="u8")
 _WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def gear(data: np.ndarray) -> np.ndarray:
-    """Gear hash after each byte: h = (h << 1) + table[byte], in as many bits as the window has bytes."""
+    """Gear hash after each byte: h = (h << 8) + table[byte], so that ``WINDOW`` bytes count."""
     h = _GEAR[data]
     step = 1
     while step < WINDOW:  # h over 2s bytes from two h over s bytes
-        h[step:] += h[:-step] << step
+        h[step:] += h[:-step] << np.uint64(8 * step)
         step *= 2
-    return h
+    return h ^ (h >> np.uint64(32))
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
     """Ends of the chunks of one text, as byte positions; the last is its length.
 
-    A chunk has ``MIN_BYTES`` to ``MAX_BYTES`` bytes (the last may have fewer).
-    Text without a cut for ``MAX_BYTES`` is cut there, at the start of a character.
+    A cut may fall after white space. The rightmost smallest hash of ``NEAR`` such
+    places in a row is a cut; a place with the hash of the one before is none, so
+    a word that is said over and over is not cut. A chunk has at most
+    ``MAX_BYTES`` bytes: text without a cut is cut there, at the start of a character.
     """
     n = len(data)
     if not n:
         return np.zeros(0, "i8")
-    found = np.flatnonzero(_WHITE[data] & (gear(data) < int(CUT * (1 << WINDOW)))) + 1
+    hashes = gear(data)
+    places = np.flatnonzero(_WHITE[data])
+    value = hashes[places]
+    new = np.ones(len(places), bool)
+    new[1:] = value[1:] != value[:-1]
+    places, value = places[new] + 1, value[new]
+    found = np.zeros(0, "i8")
+    if len(places) >= NEAR:
+        best = value[:len(value) - NEAR + 1].copy()
+        where = np.arange(len(best))
+        for k in range(1, NEAR):
+            other = value[k:k + len(best)]
+            less = other <= best
+            best[less] = other[less]
+            where[less] = np.flatnonzero(less) + k
+        found = places[np.unique(where)]
     out, last = [], 0
     for at in [*found.tolist(), n]:
         while at - last > MAX_BYTES:
@@ -56,7 +76,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
                 forced -= 1
             out.append(forced)
             last = forced
-        if at - last >= MIN_BYTES or at == n and at > last:
+        if at > last:
             out.append(at)
             last = at
     return np.array(out, "i8")
@@ -66,7 +86,9 @@ def split_text(text: str) -> list[tuple[int, int, int, int]]:
     """Chunks of a text: (first code point, end code point, words, 64-bit digest).
 
     The digest is taken of the chunk with each run of white space as one space,
-    so a passage that was wrapped anew is still the same.
+    so a passage that was wrapped anew is still the same. Of a chunk with fewer
+    than ``LEAST`` words it is taken together with the chunks before that make up
+    as many, so that a run does not go on by a word or two that many texts have.
     """
     from xxhash import xxh3_64_intdigest
 
@@ -83,9 +105,12 @@ def split_text(text: str) -> list[tuple[int, int, int, int]]:
     word = data != 32
     begins = np.concatenate([[0], np.cumsum(word & np.concatenate([[True], ~word[:-1]]))]) if len(data) else np.zeros(1, "i8")
     body = data.tobytes()
+    # The last chunk start that leaves enough words before the end, or the text's start.
+    enough = np.searchsorted(begins[starts], begins[ends] - LEAST, side="right") - 1
+    since = starts[np.clip(np.minimum(enough, np.arange(len(starts))), 0, None)]
     return [
-        (int(point[place[a]]), int(point[place[b]]), int(begins[b] - begins[a]), xxh3_64_intdigest(body[a:b]) - (1 << 63))
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        (int(point[place[a]]), int(point[place[b]]), int(begins[b] - begins[a]), xxh3_64_intdigest(body[c:b]) - (1 << 63))
+        for a, b, c in zip(starts.tolist(), ends.tolist(), since.tolist(), strict=True)]
 
 
 def chunks(docs: DataFrame) -> DataFrame:

@@ -300,3 +300,17 @@ def test_pruning_skips_blocks_whose_bound_is_too_low():
     blocks = [(np.arange(10) + 10 * b, np.full((10, 4), 100 - 10 * b)) for b in range(8)]
     best, who, scored = topk.search((np.array([999]), np.ones((1, 4), "i8")), blocks, 5)
     assert who.tolist() == [[0, 1, 2, 3, 4]] and best.tolist() == [[400] * 5] and scored == 1
+
+
+def test_every_shared_passage_of_50_words_has_a_run_of_whole_chunks():
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(1, 9)))
+    for k in range(600):
+        passage = " ".join(word() for _ in range(50 + k % 3))
+        texts = [" ".join(word() for _ in range(r.randint(0, 60))) + " " + passage + " " + " ".join(word() for _ in range(r.randint(0, 60))) for _ in range(2)]
+        first = {d for *_, d in substrings.split_text(texts[0])}
+        most = run = 0
+        for _, _, n, d in substrings.split_text(texts[1]):
+            run = run + n if d in first else 0
+            most = max(most, run)
+        assert most >= substrings.MIN_WORDS, passage
