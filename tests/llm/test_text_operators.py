@@ -314,3 +314,17 @@ def test_every_shared_passage_of_50_words_has_a_run_of_whole_chunks():
             run = run + n if d in first else 0
             most = max(most, run)
         assert most >= substrings.MIN_WORDS, passage
+
+
+def test_passages_without_white_space_are_found_at_other_places(spark):
+    r = random.Random(4)
+    han = lambda n: "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(n))
+    line = lambda n: "".join(r.choice("abcdefghij0123456789+/") for _ in range(n))
+    passage, code = han(400), line(1200)
+    rows = [(1, han(700) + passage + han(90)), (2, han(333) + passage + han(50)), (3, line(500) + code), (4, line(77) + code + line(30)), (5, han(900))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {x.doc_id: x.text for x in substrings.without_repeats(df).collect()}
+    assert all(left[i] == t for i, t in rows if i in (1, 3, 5))
+    assert 383 <= len(left[2]) <= 383 + 120 and 107 <= len(left[4]) <= 107 + 360
+    for t in (rows[0][1], rows[3][1], "a" * 9000, "ab " * 3000):
+        assert "".join(t[a:b] for a, b, _, _ in substrings.split_text(t)) == t
