@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 16_384
 BLOCK_BYTES = 24 << 20
 BUCKET_BYTES = 16 << 20
+BLOCK_BITS = 24  # of a block's number within its task
 
 
 def pack(**columns) -> bytes:
@@ -63,4 +64,4 @@ def block_number(n: int) -> int:
     """A number of its own for the n-th block of this task; a task that is run again gives the same."""
     from pyspark import TaskContext
 
-    return (TaskContext.get().partitionId() << 24) + n
+    return (TaskContext.get().partitionId() << BLOCK_BITS) + n
