@@ -282,10 +282,12 @@ def gene_coverage(hsps: DataFrame, genes: DataFrame, min_identity: float = 90.0,
 def dna_targets(rows: DataFrame, pairs: DataFrame, positions: DataFrame, cols: DataFrame, genes: DataFrame) -> DataFrame:
     """Per strain to check, the target span between the innermost in-place flank copies in base pairs.
 
-    Spans under 50 bp count as absent; flanks without coordinates stay unchecked.
+    Spans under 50 bp count as absent; flanks without coordinates stay unchecked. Of genes
+    that begin at one place the longest gives the end.
     """
     need = rows.where(F.col("row_class").isin("partial", "empty")).select(*ROW).join(pairs, ROW)
-    at = lambda c, out: positions.join(genes.select("short", "contig", "start", "end"), ["short", "contig", "start"], "left").select(
+    ends = genes.groupBy("short", "contig", "start").agg(F.max("end").alias("end"))
+    at = lambda c, out: positions.select("short", "contig", "rank", "start").join(ends, ["short", "contig", "start"], "left").select(
         "short", "contig", F.col("rank").alias(c), F.col("start").alias(f"{out}_start"), F.col("end").alias(f"{out}_end"))
     out = need.join(at("lower", "l"), ["short", "contig", "lower"], "left").join(at("upper", "u"), ["short", "contig", "upper"], "left")
     n = F.col("u_end") - F.col("l_start") + 1

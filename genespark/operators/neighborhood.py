@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,17 +46,22 @@ def pair_counts(genes: DataFrame, max_bp: int = 100_000, min_gap: int = 11) -> D
 
 
 def draws(sizes: DataFrame, n_perm: int, seed: int) -> DataFrame:
-    """``n`` different pool numbers per (module, strain, perm), seeded by the names alone."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples():
-                rng = np.random.default_rng([seed, r.key & 0xFFFFFFFF, (r.key >> 32) & 0xFFFFFFFF])
-                picked = [rng.choice(r.pool, size=r.n, replace=False) for _ in range(n_perm)]
-                yield pd.DataFrame({
-                    "module_id": r.module_id, "short": r.short, "perm": np.repeat(np.arange(1, n_perm + 1), r.n),
-                    "idx": np.concatenate(picked)})
-    keyed = sizes.withColumn("key", F.xxhash64("module_id", "short"))
-    return keyed.mapInPandas(run, "module_id bigint, short string, perm int, idx bigint")
+    """``n`` different pool numbers per (module, strain, perm), seeded by the names alone.
+
+    A sparse draw takes the first n different values of a keyed sequence of hashes
+    modulo the pool's size; a dense one (over a quarter of the pool, or the rare
+    sequence that repeats itself too often) the n numbers with the smallest keyed
+    hashes. Either is a uniform sample without replacement and costs about n steps.
+    """
+    rows = sizes.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(n_perm))))
+    hashed = lambda i: F.xxhash64(F.lit(seed), "module_id", "short", "perm", i)
+    few = F.slice(F.array_distinct(F.transform(F.sequence(F.lit(1).cast("bigint"), 2 * F.col("n") + 64), lambda i: F.pmod(hashed(i), F.col("pool")))), F.lit(1), F.col("n").cast("int"))
+    least = F.array_sort(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("pool") - 1), lambda i: F.struct(hashed(i).alias("h"), i.alias("i"))))
+    many = F.transform(F.slice(least, F.lit(1), F.col("n").cast("int")), lambda x: x["i"])
+    none = F.array().cast("array<bigint>")
+    drawn = rows.withColumn("_few", F.when(4 * F.col("n") <= F.col("pool"), few).otherwise(none)).withColumn(
+        "_idx", F.when(F.size("_few") == F.col("n"), F.col("_few")).otherwise(many))
+    return drawn.select("module_id", "short", "perm", F.explode("_idx").alias("idx"))
 
 
 def score_modules(

@@ -332,7 +332,7 @@ def family_positions(genes: DataFrame, rescue: DataFrame | None = None) -> DataF
     if rescue is not None:
         rows = rows.unionByName(rescue.select(
             "short", "contig", "start", "end", F.concat(F.lit("~"), "family").alias("id"), "family"))
-    order = [F.col("contig"), F.col("start"), F.col("id"), F.col("family")]
+    order = [F.col("contig"), F.col("start"), F.col("id"), F.col("family"), F.col("end")]
     run = running(chunk_rows(rows, ["short"], order), ["short"], order,
                   {"rank": ("sum", F.lit(1).cast("bigint"), True)})
     return run.where(F.col("family").isNotNull()).select(

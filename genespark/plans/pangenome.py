@@ -322,7 +322,7 @@ RANKED = """
                  select family, short, min({'b': -bitscore, 'c': contig, 's': least(sstart, send), 'e': greatest(sstart, send)}) as h
                  from fx_genome_hits where pident >= 100 and qcovs >= 90 group by 1, 2)),
     pos as (select * from (select short, family, contig, start, "end", id,
-              row_number() over (partition by short order by contig, start, id, family nulls first) - 1 as rank from allg)
+              row_number() over (partition by short order by contig, start, id, family nulls first, "end") - 1 as rank from allg)
             where family is not null)"""
 
 
