@@ -72,7 +72,7 @@ def directions(anchors: DataFrame, clusters: int = CLUSTERS, sample: int = SAMPL
         by_width.setdefault(len(r.v), []).append(r.v)
     out = {}
     for width, rows in by_width.items():
-        m = _unit(np.array(rows, "f8").reshape(-1, width))
+        m = _unit(np.array(rows, "f8").reshape(len(rows), width))
         k = max(1, min(clusters, len(m) // 4))
         c = m[np.linspace(0, len(m) - 1, k).astype(int)]
         for _ in range(STEPS):
@@ -98,7 +98,7 @@ def _assign(centres: dict[int, np.ndarray]):
 
 
 def _matrix(lists, width: int) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width)
 
 
 PACKED = "number bigint, cluster int, width int, payload binary"

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genespark.llm import hard_negatives, language, packing, pieces, pii, prefix_trie, quality, secrets, sharding, simhash, substrings, token_counts, topk
+from genespark.llm import hard_negatives, language, packing, pieces, pii, pipeline, prefix_trie, quality, secrets, sharding, simhash, substrings, token_counts, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,6 +164,6 @@ def op13(spark, sf_dir):
     return hard_negatives.mine_hard_negatives(vectors.withColumn("label", label))
 
 
-QUERIES["pipeline"] = corpus_pipeline.run
-if corpus_pipeline.ORACLE_SQL:
-    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+QUERIES["pipeline"] = pipeline.run
+if pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = pipeline.ORACLE_SQL

@@ -33,20 +33,29 @@ MOST = np.iinfo("i8").max - 1  # scores beyond a long are held at its end
 
 
 def whole_numbers(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """(vec_id, v) with v = floor(scale * x) per component; vectors that are null or hold a null, NaN or infinite one are left out."""
-    x = F.transform(vec_col, lambda c: F.lit(float(scale)) * c.cast("double"))
-    bad = F.exists("_x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) >= float(1 << 62)))
+    """(vec_id, v) with v = floor(scale * x) per component, as exact doubles, however large.
+
+    Vectors that are null or hold a null, NaN or infinite component are left out.
+    """
+    x = F.transform(vec_col, lambda c: c.cast("double"))
+    bad = F.exists("_x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    whole = lambda c: F.when(F.abs(c) < float(1 << 52), F.floor(c * float(scale)).cast("double")).otherwise(c * float(scale))
     return vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), x.alias("_x")).where(F.col("_x").isNotNull() & ~bad).select(
-        "vec_id", F.transform("_x", lambda c: F.floor(c)).alias("v"))
+        "vec_id", F.transform("_x", whole).alias("v"))
 
 
 def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _exact(m: np.ndarray) -> np.ndarray:
+    """Whole doubles as Python integers."""
+    return np.frompyfunc(int, 1, 1)(m) if m.size else m.astype(object)
+
+
 def _packed(ids: np.ndarray, m: np.ndarray) -> bytes:
-    most = int(np.abs(m).max(initial=0))
-    kind = "i1" if most < 128 else "i2" if most < 1 << 15 else "i8"
+    most = np.abs(m).max(initial=0)
+    kind = "i1" if most < 128 else "i2" if most < 1 << 15 else "f8"
     return blocks.pack(ids=[ids], width=[[m.shape[1]]], m=[m.astype(kind).reshape(-1)])
 
 
@@ -117,10 +126,11 @@ def search(queries: tuple[np.ndarray, np.ndarray], parts: list[tuple[np.ndarray,
     parts = [p for p in parts if p[1].shape[1] == q.shape[1]]
     if not parts:
         return best, who, 0
-    largest = max(int(np.abs(m).max(initial=0)) for _, m in parts)
-    kind = "f8" if largest * int(np.abs(q).max(initial=0)) * max(q.shape[1], 1) < EXACT else object  # exact either way
-    q = q.astype(kind)
-    hi, lo = (np.stack([f(m, axis=0) for _, m in parts]).astype(kind) for f in (np.max, np.min))
+    largest = max(float(np.abs(m.astype("f8")).max(initial=0)) for _, m in parts)
+    small = largest * float(np.abs(q.astype("f8")).max(initial=0)) * max(q.shape[1], 1) < EXACT
+    whole = (lambda m: m.astype("f8")) if small else (lambda m: _exact(m.astype("f8")))  # exact either way
+    q = whole(q)
+    hi, lo = (whole(np.stack([f(m, axis=0) for _, m in parts])) for f in (np.max, np.min))
     bound = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
     order = np.argsort(-bound.astype("f8"), axis=1, kind="stable")
     scored = 0
@@ -132,8 +142,8 @@ def search(queries: tuple[np.ndarray, np.ndarray], parts: list[tuple[np.ndarray,
         for b in np.unique(order[active, r]).tolist():
             mine = active[order[active, r] == b]
             ids, m = parts[b]
-            score = q[mine] @ m.astype(kind).T
-            score = (np.clip(score, -MOST, MOST) if kind is object else score).astype("i8")
+            score = q[mine] @ whole(m).T
+            score = (score if small else np.clip(score, -MOST, MOST)).astype("i8")
             score[ids[None, :] == qid[mine][:, None]] = low
             every = np.broadcast_to(ids, score.shape)
             best[mine], who[mine] = _merge(np.hstack([best[mine], score]), np.hstack([who[mine], every]), k)
@@ -160,14 +170,14 @@ def _meet(k: int):
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` best candidates of every query: query_id, rank (from 1), vec_id, score.
 
-    Both tables have vec_id and v (array<bigint>). The score is the inner product;
+    Both tables have vec_id and v (array<double> of whole numbers). The score is the inner product;
     ties go to the smaller vec_id. Candidates are all vectors of the query's
     length with another vec_id; a repeated candidate counts as often as it
     stands there, a repeated query id is one query (its smallest vector). Scores
     are exact; one beyond the range of a long is held at its end. A query without candidates has no row; empty tables give an empty result.
     """
     packed = "number bigint, payload binary"
-    coded = vectors.select("vec_id", "v").mapInArrow(_code, "vec_id bigint, v array<bigint>, width int, code int")
+    coded = vectors.select("vec_id", "v").mapInArrow(_code, "vec_id bigint, v array<double>, width int, code int")
     n_tiles = max(1, math.ceil(vectors.count() / TILE))
     # The last key deals equal rows out.
     sorted_ = coded.withColumn("_n", F.monotonically_increasing_id()).repartitionByRange(n_tiles, "width", "code", "vec_id", "_n").sortWithinPartitions(
