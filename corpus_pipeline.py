@@ -1,114 +1,11 @@
-"""From raw documents to packed training sequences, in five stages.
+"""From raw documents to packed training sequences: the stages of ``genespark.llm.pipeline``.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``docs``. ``run`` writes each stage's result as Parquet and
-reads it again for the next one. A stage deletes what earlier stages wrote for
-themselves, unless ``docs`` still reads it: so write a stage's result before you
-call a stage on other documents.
+return the columns of ``docs``. ``run`` applies them to the documents of a folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import wraps
+from genespark.llm.pipeline import ORACLE_SQL, STAGES, near_duplicates, pack, personal_data, quality_rules, repeated_passages, run
 
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from genespark.llm import packing, pii, quality, similar, substrings
-from genespark.llm.common import drop_written
-from genespark.session import materialize, recorded
-
-TOKENIZER = "word_bpe_49k.json"
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_written: list[DataFrame] = []  # by stages that have run, and not deleted yet
-
-
-def _delete_unread(spark: SparkSession, docs: DataFrame) -> None:
-    """Delete the tables of earlier stages that ``docs`` doesn't read; those of other sessions are forgotten."""
-    read, left = set(docs.inputFiles()), []
-    for table in _written:
-        if table.sparkSession is not spark:
-            continue
-        if read.isdisjoint(table.inputFiles()):
-            drop_written(table)
-        else:
-            left.append(table)
-    _written[:] = left
-
-
-def _tidy(stage: Stage) -> Stage:
-    @wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        _delete_unread(spark, docs)
-        with recorded() as tables:
-            out = stage(spark, docs, sf_dir)
-        _written.extend(tables)
-        return out
-
-    return run_stage
-
-
-def _with_length(docs: DataFrame) -> DataFrame:
-    """``n_chars``, where there is such a column, follows the changed text."""
-    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
-
-
-@_tidy
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed rules keep, unchanged."""
-    nested = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    signals = materialize(quality.quality_signals(nested).drop("text"))
-    return quality.judge(signals).where("kept").select("_row.*")
-
-
-@_tidy
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of 5-word shingle similarity 0.8 or more join: a row with the group's smallest doc_id."""
-    rows = materialize(similar.with_keys(docs).withColumn("_n", F.monotonically_increasing_id()))
-    groups = similar.groups(rows)
-    # A null doc_id stays only where the group has no other.
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_n"))
-    first = rows.select("_set", "doc_id", "_n").join(groups, "_set").groupBy("component").agg(F.min_by("_n", order).alias("_n"))
-    return rows.join(first.select("_n"), "_n", "left_semi").select(*docs.columns)
-
-
-@_tidy
-def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages that an earlier document has."""
-    return _with_length(substrings.without_repeats(docs))
-
-
-@_tidy
-def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data generalised and disclosing terms removed."""
-    return _with_length(pii.sanitised(docs))
-
-
-@_tidy
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces with their places in sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
-
-
-STAGES = [
-    ("quality_rules", quality_rules),
-    ("near_duplicates", near_duplicates),
-    ("repeated_passages", repeated_passages),
-    ("personal_data", personal_data),
-    ("best_fit_packing", pack),
-]
-ORACLE_SQL = None  # expectation-maximisation, components and tokenizers are not SQL; tests compare with brute force
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    last = None
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
-        if last is not None:
-            drop_written(last)
-        last = docs
-    _delete_unread(spark, docs)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "near_duplicates", "pack", "personal_data", "quality_rules", "repeated_passages", "run"]
