@@ -24,6 +24,21 @@ def test_every_stage_takes_edge_cases_and_keeps_columns(spark, docs):
     assert corpus_pipeline.pack(spark, docs, SMALL).count() >= docs.count()
 
 
+CLASHES = ["_n", "_id", "_key", "_set", "_bands", "_cut", "row", "_row", "_doc", "_entities", "_terms", "node", "component", "kept", "digest"]
+
+
+def test_stages_keep_columns_whose_names_are_their_own(spark, docs):
+    more = docs.select("doc_id", "text", "lang", "source", "n_chars", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(-1))).alias(c) for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, SMALL)
+        assert out.columns == more.columns, name
+        rows = out.collect()  # before the next stage, which deletes what this one wrote
+        plain = stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), SMALL)
+        assert Counter(tuple(r[c] for c in plain.columns) for r in rows) == Counter(tuple(r) for r in plain.collect()), name
+        for r in rows:
+            assert all(r[c] == c + str(-1 if r.doc_id is None else r.doc_id) for c in CLASHES), name
+
+
 def test_every_stage_takes_an_empty_table(spark, docs):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SMALL).count() == 0, name
@@ -82,3 +97,27 @@ def test_near_duplicates_find_edited_copies_by_shingle_similarity(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = {x.doc_id for x in corpus_pipeline.near_duplicates(spark, df, SMALL).collect()}
     assert kept == {i for i, _ in rows} - gone
+
+
+def test_checked_pairs_grow_with_a_group_and_not_with_its_square(spark):
+    """Texts that share a third to a half of their words with all others of a group, and near copies: pairs checked a text."""
+    import random
+
+    from genespark.llm import similar
+
+    r = random.Random(12)
+    word = lambda: f"w{r.randrange(10**6)}"
+    passage, hot = [word() for _ in range(100)], [word() for _ in range(150)]
+    rate = {}
+    for n in (150, 600):
+        rows = [(i, " ".join(passage + [word() for _ in range(60)])) for i in range(n)]  # 0.45 alike
+        for i in range(n):
+            copy = list(hot)
+            copy[r.randrange(150)] = word()
+            rows.append((n + i, " ".join(copy)))
+        df = similar.with_keys(spark.createDataFrame(rows, "doc_id bigint, text string")).withColumn("_n", F.monotonically_increasing_id()).cache()
+        groups, checked = similar.linked_groups(df)
+        names = Counter(x.component for x in groups.collect())
+        assert sorted(names.values())[-1] == n and len(names) == n + 1
+        rate[n] = checked / n
+    assert rate[600] <= 1.5 * rate[150] + 10, rate
