@@ -1,19 +1,27 @@
 """Personal data and the terms that give it away, in DataFrame functions only.
 
 Entities (email, ip, card, phone) are found by pattern and checked. Then the
-corpus tells which other words disclose an entity: for a term t that stands near
-an entity e, the disclosure is PMI(t; e) / IC(e), with
+corpus tells which words disclose an entity: for a term t and an entity e, the
+disclosure is PMI(t; e) / IC(e), with
 
     PMI(t; e) = log(N * n(t, e) / (n(t) * n(e))),    IC(e) = log(N / n(e)),
 
 where n counts documents of N. It is 1 where t is never seen without e: reading t
-then tells as much as reading e. Terms at or above ``DISCLOSURE`` with evidence
-from ``SUPPORT`` different contexts are removed where they stand beside the
-entity, entities are generalised to their kind.
+then tells as much as reading e. A pair at or above ``DISCLOSURE`` must also be no
+chance: of c differing documents with e, s have t, and (exp(1) c n(t) / (s N)) ** s,
+a bound on the chance of that, times the number of pairs tested must not exceed
+``CHANCE``. Two or three documents are enough for a rare term and a rare entity.
+Documents differ if the text around e does (``AROUND`` code points on each side):
+copies count once, and where most of the documents with both have an equal
+surrounding, nothing is said, for they are near copies.
+A disclosing term is removed wherever it stands, in every document; entities are
+generalised to their kind.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +29,8 @@ from genespark.llm.common import row_key, whole_text
 from genespark.session import materialize
 
 DISCLOSURE = 0.8
-SUPPORT = 5
-AROUND = 64  # code points before and after an entity
+AROUND = 64  # code points before and after an entity that tell copies from other documents
+CHANCE = 0.05  # that any of the pairs tested is flagged by chance, at most
 KINDS = ("email", "ip", "card", "phone", "term")
 TERM = "[\\p{L}\\p{N}]{3,}"
 
@@ -98,48 +106,60 @@ def entities(docs: DataFrame, out: str = "_entities") -> DataFrame:
         *[f"_{c}_{k}" for c in "mg" for k in PATTERNS])
 
 
-def _contexts(rows: DataFrame) -> DataFrame:
-    """One row per entity of a document with its id, a hash of its context, and the terms around it with their places."""
+def _masked() -> Column:
+    """The text with its entities as white space of the same length, so that their parts are no terms and places stay."""
+    done = F.aggregate(
+        "_entities", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
+        lambda a, s: F.struct(
+            F.greatest(a["at"], s["end"]).alias("at"),
+            F.concat(a["out"], F.array(F.substring(F.col("text"), a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))),
+                                       F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(a["at"], s["start"]), F.lit(0))))).alias("out")),
+        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
+    return F.when(F.size("_entities") > 0, done).otherwise(whole_text())
+
+
+def _terms() -> Column:
+    """Hashes of the distinct terms of a text, entities left out."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(_masked()), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
+
+
+def _mentions(rows: DataFrame) -> DataFrame:
+    """(_doc, entity, context), one row per document and entity; ``context`` is a hash of what stands around it."""
     e = F.col("_e")
     name = F.when(e["kind"] == 0, F.lower(e["value"])).when(e["kind"] == 1, e["value"]).otherwise(_digits(e["value"]))
-    left, right = F.greatest(e["start"] - AROUND, F.lit(0)), F.least(e["end"] + AROUND, F.length("text"))
-    rows = rows.where(F.size("_entities") > 0).withColumn("_e", F.explode("_entities")).select(
-        "_doc", "_entities", F.xxhash64(e["kind"], name).alias("entity"), left.alias("_left"), e["end"].alias("_from"), right.alias("_right"),
-        F.length("text").alias("_long"), F.substring("text", left + 1, e["start"] - left).alias("_before"),
-        F.substring("text", e["end"] + 1, right - e["end"]).alias("_after"))
-    for side in ("before", "after"):
-        rows = rows.withColumns({f"_m_{side}": F.regexp_extract_all(f"_{side}", F.lit(TERM), F.lit(0)), f"_g_{side}": F.split(f"_{side}", TERM, -1)})
-    placed = F.concat(_placed("_m_before", "_g_before", F.col("_left")), _placed("_m_after", "_g_after", F.col("_from")))
-    # Words that the window cuts, and parts of entities, are not terms.
-    whole = lambda s: ((s["start"] > F.col("_left")) | (F.col("_left") == 0)) & ((s["end"] < F.col("_right")) | (F.col("_right") == F.col("_long")))
-    apart = lambda s: ~F.exists("_entities", lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
-    terms = F.transform(F.filter(placed, lambda s: whole(s) & apart(s)), lambda s: F.struct(
-        F.xxhash64(F.lower(s["value"])).alias("term"), s["start"].alias("start"), s["end"].alias("end")))
-    return rows.select("_doc", "entity", F.xxhash64("_before", "_after").alias("context"), terms.alias("terms"))
-
-
-def disclosing_terms(docs: DataFrame, contexts: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    left = F.greatest(e["start"] - AROUND, F.lit(0))
+    context = F.xxhash64(F.substring("text", left + 1, e["start"] - left), F.substring("text", e["end"] + 1, F.lit(AROUND)))
+    return rows.where(F.size("_entities") > 0).select("_doc", "text", F.explode("_entities").alias("_e")).select(
+        "_doc", F.xxhash64(e["kind"], name).alias("entity"), context.alias("context")).groupBy("_doc", "entity").agg(F.min("context").alias("context"))
+
+
+def disclosing_terms(rows: DataFrame, mentions: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """(entity, term) hashes whose disclosure and evidence reach the thresholds.
 
-    All documents are counted; a document counts once per entity, term and pair.
+    All documents are counted; a document counts once per entity, term and pair. A
+    term can reach ``disclosure`` only if n(t) <= n(e) ** disclosure * N ** (1 - disclosure),
+    so a document's frequent terms are never paired with its entities.
     """
-    near = contexts.select("_doc", "entity", "context", F.explode("terms.term").alias("term"))
-    pairs = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("support")).where(F.col("support") >= support)
-    both = materialize(near.join(pairs, ["entity", "term"]).select("entity", "term", "_doc").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_both")))
-    terms = materialize(both.select("term").distinct())
-    words = docs.select(F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all(F.lower(whole_text()), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))).alias("term"))
+    total = rows.count()
+    known = mentions.groupBy("entity").agg(F.countDistinct("context").alias("n_contexts"), F.countDistinct("_doc").alias("n_entity")).where(
+        (F.col("n_contexts") > 1) & (F.col("n_entity") < total))
+    asked = materialize(mentions.join(known, "entity"))
+    words = rows.select("_doc", F.explode(_terms()).alias("term"))
+    mine = materialize(rows.join(asked.select("_doc").distinct(), "_doc", "left_semi").select("_doc", F.explode(_terms()).alias("term")).distinct())
     # Counted before the join, so a frequent term is a few partial sums and not a row per document.
-    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(terms, "term")
-    n_entity = contexts.select("_doc", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    total = docs.count()
+    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(mine.select("term").distinct(), "term")
+    n_term = materialize(n_term)
+    rare = F.col("n_term") <= F.pow(F.col("n_entity"), F.lit(disclosure)) * float(total) ** (1 - disclosure) * (1 + 1e-9)
+    pairs = materialize(mine.join(n_term, "term").join(asked, "_doc").where(rare).groupBy("entity", "term", "n_term", "n_entity", "n_contexts").agg(
+        F.countDistinct("_doc").alias("n_both"), F.countDistinct("context").alias("n_apart")))
+    tested = pairs.count()
     share = F.log(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(F.lit(total) / F.col("n_entity"))
-    return both.join(n_term, "term").join(n_entity, "entity").where(
-        (F.col("n_entity") < total) & (share >= disclosure)).select("entity", "term")
+    s = F.col("n_apart")
+    by_chance = s * F.log(math.e * F.col("n_contexts") * F.col("n_term") / (s * total)) + math.log(max(tested, 1))
+    return pairs.where((share >= disclosure - 1e-12) & (s > 1) & (2 * s >= F.col("n_both")) & (by_chance <= math.log(chance))).select("entity", "term")
 
 
-def private_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def private_spans(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
     """Rows of ``docs`` with ``_entities`` and ``_terms`` (start, kind, end), both sorted.
 
     Repeated rows keep a row each and have equal spans. Columns whose names
@@ -147,13 +167,17 @@ def private_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int
     """
     columns = docs.columns
     rows = materialize(entities(docs.withColumn("_doc", row_key())))
-    contexts = materialize(_contexts(rows))
-    flagged = materialize(disclosing_terms(rows, contexts, disclosure, support))
-    near = contexts.select("_doc", "entity", F.explode("terms").alias("_t")).select("_doc", "entity", F.col("_t.term").alias("term"), "_t.start", "_t.end")
-    spans = near.join(flagged, ["entity", "term"]).groupBy("_doc").agg(F.array_sort(F.collect_set(
-        F.struct(F.col("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("end")))).alias("_terms"))
+    mentions = materialize(_mentions(rows))
+    flagged = materialize(disclosing_terms(rows, mentions, disclosure, chance).select("term").distinct())
+    met = rows.select("_doc", F.explode(_terms()).alias("term")).join(flagged, "term").groupBy("_doc").agg(F.collect_set("term").alias("_flagged"))
+    found = rows.join(materialize(met), "_doc", "left")
+    mask = F.when(F.col("_flagged").isNotNull(), _masked())
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return rows.join(spans, "_doc", "left").withColumn("_terms", F.coalesce("_terms", none)).select(*columns, "_entities", "_terms")
+    found = found.withColumn("_mask", mask).withColumns({"_m": F.regexp_extract_all("_mask", F.lit(TERM), F.lit(0)), "_g": F.split("_mask", TERM, -1)})
+    spans = F.transform(
+        F.filter(_placed("_m", "_g"), lambda s: F.array_contains("_flagged", F.xxhash64(F.lower(s["value"])))),
+        lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), s["end"].alias("end")))
+    return found.withColumn("_terms", F.coalesce(F.when(F.col("_flagged").isNotNull(), spans), none)).select(*columns, "_entities", "_terms")
 
 
 def _plain(spans: str) -> Column:

@@ -53,22 +53,26 @@ def _tidy(stage: Stage) -> Stage:
 
 
 def _nested(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text): the caller's columns in a struct, so that their names meet none of an operator's."""
-    return docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    """(row, doc_id, text): the caller's other columns in a struct, so that their names meet none of an operator's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select(F.struct(*rest or [F.lit(0).alias("none")]).alias("row"), "doc_id", "text")
+
+
+def _plain(out: DataFrame, docs: DataFrame, new: dict | None = None) -> DataFrame:
+    """The columns of ``docs`` again; ``new`` has those that change."""
+    kept = {"doc_id": F.col("doc_id"), "text": F.col("text")} | (new or {})
+    return out.select(*[(kept[c] if c in kept else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def _with_text(out: DataFrame, docs: DataFrame) -> DataFrame:
     """The caller's columns with the changed text; ``n_chars``, where there is such a column, follows it."""
-    new = {"text": F.col("text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return _plain(out, docs, {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else None)
 
 
 @_tidy
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed rules keep, unchanged."""
-    signals = materialize(quality.quality_signals(_nested(docs)).drop("text"))
+    signals = materialize(quality.quality_signals(docs.select(F.struct("*").alias("row"), "text")).drop("text"))
     return quality.judge(signals).where("kept").select("row.*")
 
 
@@ -80,7 +84,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # A null doc_id stays only where the group has no other.
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_n"))
     first = rows.select("_set", "doc_id", "_n").join(groups, "_set").groupBy("component").agg(F.min_by("_n", order).alias("_n"))
-    return rows.join(first.select("_n"), "_n", "left_semi").select("row.*")
+    return rows.join(first.select("_n"), "_n", "left_semi").transform(_plain, docs)
 
 
 @_tidy

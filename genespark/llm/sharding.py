@@ -1,17 +1,11 @@
 """Sharding by longest processing time.
 
-Rows with equal texts form a group that stays together. The schedule is made of
-a bounded number of units, whatever the size of the table:
-
-* a group larger than ``total / (shards * units_per_shard)`` is a unit of its
-  own. The sizes add up to ``total``, so there are at most
-  ``shards * units_per_shard`` such groups;
-* every other group is dealt by the hash of its text into one of
-  ``shards * units_per_shard`` buckets, and a bucket is a unit.
-
-The units, sorted by size, go one by one to the least loaded shard of a heap.
-Only their sizes reach the driver (at most ``2 * shards * units_per_shard``
-pairs of longs), and only their shards are broadcast.
+Rows with equal texts form a group that stays together. Groups, sorted by size, go
+one by one to the least loaded shard. Groups of one size are alike, so the number
+of groups of each size is all that the schedule needs: the driver gets one pair a
+size, at most sqrt(2 * bytes) of them (245,000 for 30 GB, since different sizes add
+up), and takes a whole size through the heap at once. Each group then finds its
+shard by its rank among the groups of its size.
 """
 
 from __future__ import annotations
@@ -22,56 +16,57 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.llm.common import whole_text
+from genespark.operators.ordered import rank_within
 from genespark.session import materialize
 
-UNITS_PER_SHARD = 4096
 
+def take_turns(loads: list[int], size: int, count: int) -> list[int]:
+    """How many of ``count`` items of one size each shard gets, one after another to the least loaded (ties: the smaller shard).
 
-def longest_first(sizes: list[tuple[int, int]], shards: int) -> dict[int, int]:
-    """Shard of every (unit, size): largest first, each to the shard with the least load so far.
-
-    Ties go to the smaller unit and the smaller shard.
+    The k-th item of a shard is taken when its load is ``load + k * size``; the
+    ``count`` smallest of these are taken. All full rounds below a common load are
+    counted at once, the rest, fewer than shards, go through a heap.
     """
-    heap = [(0, s) for s in range(shards)]
-    out = {}
-    for unit, size in sorted(sizes, key=lambda x: (-x[1], x[0])):
-        load, shard = heapq.heappop(heap)
-        out[unit] = shard
-        heapq.heappush(heap, (load + size, shard))
+    low, high = min(loads) - 1, max(loads) + size * count
+    upto = lambda t: sum((t - x) // size + 1 for x in loads if x <= t)
+    while low < high:  # the highest load that no more than ``count`` items are taken at or below
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if upto(mid) <= count else (low, mid - 1)
+    got = [(low - x) // size + 1 if x <= low else 0 for x in loads]
+    heap = [(x + k * size, i) for i, (x, k) in enumerate(zip(loads, got, strict=True))]
+    heapq.heapify(heap)
+    for _ in range(count - sum(got)):
+        load, i = heapq.heappop(heap)
+        got[i] += 1
+        heapq.heappush(heap, (load + size, i))
+    return got
+
+
+def longest_first(counts: list[tuple[int, int]], shards: int) -> list[tuple[int, list[int]]]:
+    """(size, number of groups) -> (size, ranks at which the next shard begins), largest size first."""
+    loads, out = [0] * shards, []
+    for size, count in sorted(counts, reverse=True):
+        got = take_turns(loads, size, count)
+        starts = []
+        for i, k in enumerate(got):
+            starts.append(sum(got[:i]))
+            loads[i] += k * size
+        out.append((size, starts[1:]))
     return out
 
 
-def _schedule(units: DataFrame, shards: int) -> DataFrame:
-    """(unit, size) -> (unit, shard); heavy groups and buckets are scheduled together."""
-    got = units.toArrow()
-    plan = longest_first(list(zip(got["unit"].to_pylist(), got["size"].to_pylist(), strict=True)), shards)
-    return units.sparkSession.createDataFrame(list(plan.items()), "unit bigint, shard int")
-
-
-def shard_groups(rows: DataFrame, shards: int = 16, units_per_shard: int = UNITS_PER_SHARD) -> DataFrame:
+def shard_groups(rows: DataFrame, shards: int = 16) -> DataFrame:
     """Add ``shard`` (int) to rows with a group key ``grp`` (bigint) and a positive ``size`` (bigint).
 
-    ``rows`` is read three times, so pass a written table. Rows of one ``grp``
+    ``rows`` is read twice, so pass a written table. Rows of one ``grp``
     get one shard. An empty table gives an empty result.
     """
-    limit = shards * units_per_shard
-    total = rows.agg(F.sum("size").alias("s")).first()["s"] or 0
-    groups = rows.groupBy("grp").agg(F.sum("size").cast("bigint").alias("size"))
-    is_heavy = F.col("size") * limit > total
-    # A bucket's number is below ``limit``; a heavy group's number is kept apart by its own column.
-    heavy = groups.where(is_heavy).select("grp", "size")
-    light = groups.where(~is_heavy).groupBy(F.pmod("grp", F.lit(limit)).alias("bucket")).agg(
-        F.sum("size").cast("bigint").alias("size"))
-    named = materialize(
-        heavy.select("grp", F.lit(None).cast("bigint").alias("bucket"), "size")
-        .unionByName(light.select(F.lit(None).cast("bigint").alias("grp"), "bucket", "size"))
-        .withColumn("unit", F.xxhash64(F.col("grp"), F.coalesce("bucket", F.lit(-1)))))
-    placed = named.join(F.broadcast(_schedule(named.select("unit", "size"), shards)), "unit")
-    by_group = placed.where("grp is not null").select("grp", F.col("shard").alias("_own"))
-    by_bucket = placed.where("bucket is not null").select("bucket", F.col("shard").alias("_of"))
-    return (rows.withColumn("bucket", F.pmod("grp", F.lit(limit)))
-            .join(F.broadcast(by_group), "grp", "left").join(F.broadcast(by_bucket), "bucket", "left")
-            .withColumn("shard", F.coalesce("_own", "_of")).drop("bucket", "_own", "_of"))
+    groups = materialize(rank_within(rows.groupBy("grp").agg(F.sum("size").cast("bigint").alias("size")), ["size"], [F.col("grp")], "_r"))
+    got = groups.groupBy("size").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    plan = longest_first(list(zip(got["size"].to_pylist(), got["n"].to_pylist(), strict=True)), shards)
+    starts = materialize(rows.sparkSession.createDataFrame(plan, "size bigint, _starts array<bigint>"))
+    shard = F.size(F.filter("_starts", lambda x: x <= F.col("_r")))
+    return rows.join(groups.join(starts, "size").select("grp", shard.alias("shard")), "grp")
 
 
 def slots(rows: DataFrame, by: str = "shard", order: tuple[str, ...] = ()) -> DataFrame:
@@ -91,7 +86,7 @@ def slots(rows: DataFrame, by: str = "shard", order: tuple[str, ...] = ()) -> Da
         "_chunk", "_start", "_r")
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, units_per_shard: int = UNITS_PER_SHARD) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     """Shard and slot of every document by law ``bytes``: shard sizes near equal, equal texts together.
 
     Size is the text's UTF-8 bytes plus one; a null text has size 1 and is a
@@ -104,7 +99,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, units_per_shard: int = UN
     rows = materialize(docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("grp")))
-    placed = slots(shard_groups(rows, shards, units_per_shard), "shard", ("doc_id", "text_crc32", "size", "grp"))
+    placed = slots(shard_groups(rows, shards), "shard", ("doc_id", "text_crc32", "size", "grp"))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))

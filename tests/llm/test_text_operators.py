@@ -263,17 +263,45 @@ def test_shards_are_even_and_keep_equal_texts_together(docs, some, none):
     assert max(load.values()) <= 1.02 * sum(load.values()) / 16
 
 
-def test_bounded_units_give_even_shards(spark):
+def test_many_small_groups_give_even_shards(spark):
     rows = spark.range(20_000).select((F.col("id") * 2654435761).alias("grp"), (F.col("id") % 97 + 1).alias("size"))
-    got = sharding.shard_groups(rows, 4, units_per_shard=64).groupBy("shard").agg(F.sum("size").alias("s")).collect()
+    got = sharding.shard_groups(rows, 4).groupBy("shard").agg(F.sum("size").alias("s")).collect()
     total = sum(r.s for r in got)
     assert len(got) == 4 and max(r.s for r in got) <= 1.02 * total / 4
 
 
+def plain_loads(sizes, shards):
+    """Loads of groups taken largest first, one by one."""
+    loads = [0] * shards
+    for size in sorted(sizes, reverse=True):
+        loads[loads.index(min(loads))] += size
+    return loads
+
+
+def test_shards_equal_one_by_one_scheduling(spark):
+    r = random.Random(9)
+    for shards in (1, 3, 16):
+        groups = [(g, r.choice([1, 1, 1, 5, 7, 7, 40, r.randint(1, 3000)])) for g in range(400)] + [(1000, 50_000)]
+        df = spark.createDataFrame([(g, s) for g, s in groups for _ in range(1 + g % 3)], "grp bigint, size bigint")
+        got = sharding.shard_groups(df, shards).groupBy("shard").agg(F.sum("size").alias("s")).collect()
+        load = [0] * shards
+        for x in got:
+            load[x.shard] = x.s
+        assert load == plain_loads([s * (1 + g % 3) for g, s in groups], shards)
+    for _ in range(300):
+        loads = [r.randint(0, 50) for _ in range(r.randint(1, 6))]
+        size, count = r.randint(1, 9), r.randint(0, 40)
+        want = list(loads)
+        for _ in range(count):
+            want[want.index(min(want))] += size
+        got = sharding.take_turns(loads, size, count)
+        assert [x + k * size for x, k in zip(loads, got, strict=True)] == want
+
+
 def brute_top(vectors, queries, k):
     out = set()
     for q, qv in queries.items():
-        best = sorted((-min(sum(a * b for a, b in zip(qv, v, strict=True)), 2**63 - 2), i) for i, v in vectors if i != q and len(v) == len(qv))[:k]
+        best = sorted((-max(min(sum(a * b for a, b in zip(qv, v, strict=True)), 2**63 - 2), 2 - 2**63), i) for i, v in vectors if i != q and len(v) == len(qv))[:k]
         out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
     return out
 
@@ -282,10 +310,10 @@ def test_top_k_equals_brute_force(spark):
     r = random.Random(3)
     vec = [(i, [r.gauss(0, 1) for _ in range(6)]) for i in range(400)]
     vec += [(400 + i, vec[7][1]) for i in range(30)]  # ties
-    vec += [(500, [1.0] * 3), (520, [2.0, 0.0, -1.0]), (540, [1.0] * 9), (560, None), (580, [float("nan")] * 6), (600, [float("inf")] + [0.0] * 5), (620, [None] * 6), (640, [1e15] * 6), (660, [1e15] * 6), (680, [3e7] * 6)]
+    vec += [(500, [1.0] * 3), (520, [2.0, 0.0, -1.0]), (540, [1.0] * 9), (560, None), (580, [float("nan")] * 6), (600, [float("inf")] + [0.0] * 5), (620, [None] * 6), (640, [1e15] * 6), (660, [1e15] * 6), (680, [3e7] * 6), (700, [1e30] + [-1.0] * 5), (701, [7.3e16] * 6), (703, [-1e30, 1e30] + [2.0] * 4)]
     df = spark.createDataFrame(vec, "vec_id bigint, embedding array<double>").repartition(5)
     whole = topk.whole_numbers(df)
-    kept = [(x.vec_id, x.v) for x in whole.collect()]
+    kept = [(x.vec_id, [int(c) for c in x.v]) for x in whole.collect()]
     assert {560, 580, 600, 620}.isdisjoint(i for i, _ in kept) and len(kept) == len(vec) - 4
     got = topk.nearest(whole, whole.where("vec_id % 20 = 0")).collect()
     want = brute_top(kept, {i: v for i, v in kept if i % 20 == 0}, 20)
