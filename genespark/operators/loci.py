@@ -204,9 +204,13 @@ def _score(a: Column, b: Column) -> Column:
 
 def locus_ranks(
     rows: DataFrame, cols: DataFrame, strains: DataFrame, missing: str = ABSENT, fixed_diff: float = 0.95,
-    poly: tuple[int, float, float] = (20, 0.05, 0.95),
+    poly: tuple[int, float, float] = (20, 0.05, 0.95), confirmed: DataFrame | None = None,
 ) -> DataFrame:
-    """whole_annot, whole_dna, presence, species and within-species scores per locus (-1 = not met)."""
+    """whole_annot, whole_dna, presence, species and within-species scores per locus (-1 = not met).
+
+    With ``confirmed`` (locus_id, short) the whole scores count only these strains'
+    empty sites; ``missing`` is the code that makes a partial strain a loss.
+    """
     at = cols.where(F.col("part") == "locus").groupBy("locus_id").agg((F.min("col") + 1).alias("_a"), F.count(F.lit(1)).cast("int").alias("_k"))
     block = F.expr("substring(codes, _a, _k)")
     carrier = (F.when(F.col("row_class").isin("full", "model_difference", "variable_gap"), True).when(F.col("row_class") == "empty", False)
@@ -221,8 +225,10 @@ def locus_ranks(
     per = sp.groupBy("locus_id").agg(
         F.sum("car").alias("carriers"), F.sum("loss").alias("losses"), count_if(n >= 10).alias("_ns"),
         (F.max(F.when(n >= 10, f)) - F.min(F.when(n >= 10, f))).alias("_d"), F.min(worst).alias("_w"))
-    c = rows.groupBy("locus_id").agg(*[count_if(F.col("row_class") == x).alias(f"_{x}") for x in
-                                       ("full", "empty", "model_difference", "variable_gap")])
+    told = rows.withColumn("_sure", F.lit(True)) if confirmed is None else rows.join(
+        confirmed.select(*ROW).distinct().withColumn("_sure", F.lit(True)), ROW, "left")
+    is_ = lambda x: (F.col("row_class") == x) & (F.coalesce("_sure", F.lit(False)) | (F.lit(x) != "empty"))
+    c = told.groupBy("locus_id").agg(*[count_if(is_(x)).alias(f"_{x}") for x in ("full", "empty", "model_difference", "variable_gap")])
     wide = c.join(per, "locus_id", "left").fillna(0, ["carriers", "losses"])
     diff = F.round("_d", 3)
     return wide.select(
@@ -234,22 +240,61 @@ def locus_ranks(
         "carriers", "losses")
 
 
-def apply_dna_calls(
-    cells: DataFrame, rows: DataFrame, mask: DataFrame, calls: DataFrame, n_strains: int, empty_frac: float = 0.8,
-    min_frac: float = 0.5,
-) -> DataFrame:
-    """Row classes after sequence calls (locus_id, short, col, call in present / absent / unchecked).
+def dna_cells(cells: DataFrame, rows: DataFrame, calls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells of the strains that calls change, with their new codes, and these strains (locus_id, short).
 
-    Only strains with intact flanks, a classifying gap and at least one present / absent call change. Absent, elsewhere and
-    rescue-elsewhere cells of the locus become dna_present or dna_absent.
+    Only strains with intact flanks, a classifying gap and at least one present /
+    absent call count. Absent, elsewhere and rescue-elsewhere cells of the locus
+    become dna_present or dna_absent.
     """
     ok = rows.where(F.col("row_class").isin("partial", "empty")).select(*ROW)
-    use = calls.where(F.col("call").isin("present", "absent")).join(ok, ROW, "left_semi")
+    use = calls.where(F.col("call").isin("present", "absent")).join(ok, ROW, "left_semi").select(*ROW, "col", "call")
     touched = use.select(*ROW).distinct()
     new = cells.join(touched, ROW, "left_semi").join(use, [*ROW, "col"], "left")
     change = (F.col("part") == "locus") & F.col("code").isin(ABSENT, ELSEWHERE, RESCUE_OUT) & F.col("call").isNotNull()
-    new = new.withColumn("code", F.when(change, F.when(F.col("call") == "present", DNA_PRESENT).otherwise(DNA_ABSENT))
-                         .otherwise(F.col("code"))).drop("call")
+    return new.withColumn("code", F.when(change, F.when(F.col("call") == "present", DNA_PRESENT).otherwise(DNA_ABSENT)).otherwise(
+        F.col("code"))).drop("call"), touched
+
+
+def dna_recount(
+    cells: DataFrame, rows: DataFrame, mask: DataFrame, calls: DataFrame, cols: DataFrame, strains: DataFrame, empty_frac: float = 0.8,
+    min_frac: float = 0.5,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """M24, M26, W16 after sequence calls: rows, ranks, breakpoints, and a summary per locus.
+
+    Classes are recomputed for the touched strains only. In the ranks an empty site
+    counts if the sequence confirms it, and a partial strain is a loss if sequence
+    is missing. In the breakpoint track only changes between in place and
+    sequence-confirmed absent count. The summary has the strains checked and
+    unchecked, the empty sites confirmed, and those that became model differences.
+    """
+    n_cells = cells.select(*ROW).distinct().groupBy("locus_id").agg(F.count(F.lit(1)).alias("n_strains"))
+    new, touched = dna_cells(cells, rows, calls)
+    new, touched = materialize(new), materialize(touched)
+    after = materialize(_dna_classes(rows, new, touched, mask.join(n_cells, "locus_id"), F.col("n_strains"), empty_frac, min_frac))
+    ranks = locus_ranks(after, cols, strains, DNA_ABSENT, confirmed=touched)
+    every = cells.join(touched, ROW, "left_anti").unionByName(new.select(*cells.columns))
+    track = F.when(F.col("code").isin(ABSENT, DNA_PRESENT), ELSEWHERE).when(F.col("code") == DNA_ABSENT, ABSENT).otherwise(F.col("code"))
+    tracks = breakpoints(every.withColumn("code", track), after, strains)
+    before = rows.where(F.col("row_class").isin("partial", "empty")).select(*ROW, F.col("row_class").alias("_was"))
+    told = before.join(after.select(*ROW, "row_class"), ROW).join(touched.withColumn("_t", F.lit(True)), ROW, "left")
+    is_ = F.col("_t").isNotNull()
+    summary = told.groupBy("locus_id").agg(
+        count_if(is_).alias("checked"), count_if(~is_).alias("unchecked"), count_if(is_ & (F.col("row_class") == "empty")).alias("empty_confirmed"),
+        count_if(is_ & (F.col("_was") == "empty") & (F.col("row_class") == "model_difference")).alias("empty_to_model_difference"))
+    return after, ranks, tracks, summary
+
+
+def apply_dna_calls(
+    cells: DataFrame, rows: DataFrame, mask: DataFrame, calls: DataFrame, n_strains: int, empty_frac: float = 0.8,
+    min_frac: float = 0.5,
+) -> DataFrame:
+    """Row classes after sequence calls (locus_id, short, col, call in present / absent / unchecked); see ``dna_cells``."""
+    new, touched = dna_cells(cells, rows, calls)
+    return _dna_classes(rows, new, touched, mask, F.lit(n_strains), empty_frac, min_frac)
+
+
+def _dna_classes(rows: DataFrame, new: DataFrame, touched: DataFrame, mask: DataFrame, n_strains: Column, empty_frac: float, min_frac: float) -> DataFrame:
     used = new.join(mask.where(F.col("used") == 1).select("locus_id", "col", (F.col("support") >= min_frac * n_strains).alias("_common")),
                     ["locus_id", "col"])
     good = F.col("code").isin(IN_PLACE, RESCUE_IN)

@@ -4,7 +4,7 @@ import importlib
 
 from genespark.plans.registry import ORACLES, QUERIES
 
-MODULES = ("presence", "families", "pangenome", "islands", "cooccurrence", "overlap", "sources", "graph", "annotate", "loci", "late", "more", "studies", "sketch")
+MODULES = ("presence", "families", "pangenome", "islands", "cooccurrence", "overlap", "sources", "graph", "annotate", "loci", "late", "more", "studies", "sketch", "chain")
 
 for _name in MODULES:
     importlib.import_module(f"genespark.plans.{_name}")

@@ -66,9 +66,9 @@ def cross_references(t: Tables):
 
 @query("J2_member_hits", ctes("fx_members", "fx_genome_hits") + """
     select member, short, min(evalue) as best_evalue, count(*) as n from fx_genome_hits join fx_members using (family)
-    where evalue <= 1e-20 group by 1, 2""")
+    where evalue <= 1e-5 group by 1, 2""")
 def member_hits(t: Tables):
-    h = t.genome_hits.where(F.col("evalue") <= 1e-20).select("family", "short", "evalue")
+    h = t.genome_hits.where(F.col("evalue") <= 1e-5).select("family", "short", "evalue")
     return A.expand_hits(h, t.members).groupBy("member", "short").agg(
         F.min("evalue").alias("best_evalue"), F.count("*").alias("n"))
 

@@ -375,12 +375,12 @@ def ambiguous_families(t: Tables):
 
 @query("A36_negative_control_thresholds", ctes("fx_clusters", "fx_domain_hits", "fx_roles") + """
     , b as (select query as family, min(full_evalue) as e from fx_domain_hits join fx_roles on short = proteome
-            where grp = 'DISCOVERY_OUT' and full_evalue > 1e-9 group by 1)
+            where grp = 'DISCOVERY_OUT' group by 1)
     select f.family, coalesce(e, 1e-3) as threshold_evalue,
            case when e is null then 'global_default' else 'negative_control' end as calibration_source
     from (select distinct concat('F', substr(family, 2)) as family from fx_clusters) f left join b using (family)""")
 def negative_control_thresholds(t: Tables):
-    neg = t.domain_hits.where(F.col("full_evalue") > 1e-9).join(
+    neg = t.domain_hits.join(
         t.roles.where(F.col("grp") == "DISCOVERY_OUT").select(F.col("short").alias("proteome")), "proteome", "left_semi")
     return FM.negative_control_thresholds(f_clusters(t).select("family").distinct(), neg)
 

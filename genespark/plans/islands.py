@@ -200,14 +200,27 @@ def column_order(t: Tables):
         "display_strain", "family", F.col("column").cast("bigint").alias("column_no"))
 
 
+def family_genes(t: Tables):
+    """Genes that have a family; ``placed`` takes the same ones."""
+    return genes(t).where(F.col("start") % 3 != 0)
+
+
+def rescue_hits(t: Tables):
+    return G.best_rescue_positions(G.qualifying_hits(t.genome_hits, 100, 90))
+
+
 @query("W19_column_copy", isl_base() + SHOWN + """
-    , gg as (select s.id, im.family, min({'t': case when g.contig = span_contig and g.g_start between span_start and span_end
+    , rs as (select family, short, min({'b': -bitscore, 'c': contig, 's': least(sstart, send), 'e': greatest(sstart, send)}) as h
+             from fx_genome_hits where pident >= 100 and qcovs >= 90 group by 1, 2),
+    gg as (select s.id, im.family, min({'t': case when g.contig = span_contig and g.g_start between span_start and span_end
                then 0 when g.contig = span_contig then 1 else 2 end, 's': g.g_start, 'c': g.contig}) as b
-             from shown s join im using (id) join fx_genes g on g.short = display_strain and g.family = im.family group by 1, 2)
-    select display_strain, im.family, b.c as contig, b.s as start, case when b is null then 'none' else 'gene' end as source
-    from shown s join im using (id) left join gg on gg.id = s.id and gg.family = im.family""")
+             from shown s join im using (id)
+             join fx_genes g on g.short = display_strain and g.family = im.family and g_start % 3 <> 0 group by 1, 2)
+    select display_strain, im.family, coalesce(b.c, rs.h.c) as contig, coalesce(b.s, rs.h.s) as start,
+      case when b is not null then 'gene' when rs.h is not null then 'rescue' else 'none' end as source
+    from shown s join im using (id) left join gg on gg.id = s.id and gg.family = im.family
+    left join rs on rs.family = im.family and rs.short = display_strain""")
 def column_copy(t: Tables):
     mem, sh = shown(t)
-    none = t.genome_hits.where(F.col("pident") > 1000).select("short", "family", "contig", F.col("sstart").alias("start"))
-    return I.column_copy(mem, sh, genes(t), none).join(sh.select("island_id", "display_strain"), "island_id").drop(
+    return I.column_copy(mem, sh, family_genes(t), rescue_hits(t)).join(sh.select("island_id", "display_strain"), "island_id").drop(
         "island_id")

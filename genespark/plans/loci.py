@@ -1,4 +1,4 @@
-"""Locus queries: two-family loci followed across all strains."""
+"""Locus queries: the islands found in two strains or more, followed across all strains; placements also of family pairs."""
 
 from __future__ import annotations
 
@@ -15,26 +15,35 @@ num = lambda c: F.substring(c, 2, 9).cast("int")
 
 
 def members(t: Tables):
-    f = families(t).where(num("family") % 4 == 0)
+    """Each family with the third one after it."""
+    f = families(t)
     two = F.explode(F.array(num("family"), (num("family") + 3) % 200))
     return f.select(F.concat(F.lit("L"), num("family")).alias("locus_id"), two.alias("f")).select(
         "locus_id", F.concat(F.lit("F"), "f").alias("family"))
 
 
+def island_loci(t: Tables):
+    def make():
+        from genespark.plans.islands import with_lists
+        _, isl, mem = with_lists(t)
+        return mem.join(isl.where(F.col("n_strains") >= 2).select("island_id"), "island_id").select(F.col("island_id").alias("locus_id"), "family")
+    return t.once("island_loci", make)
+
+
 def placement_rows(t: Tables):
-    return t.once("placements", lambda: L.placements(members(t), placed(t)))
+    return t.once("placements", lambda: L.placements(island_loci(t), placed(t)))
 
 
 @query("W12_placements", ctes("fx_genes", "fx_genome_hits") + RANKED + """
     , lm as (select concat('L', i) as locus_id, concat('F', i) as a, concat('F', (i + 3) % 200) as b from (
-        select distinct cast(substr(family, 2) as int) as i from fx_genes) where i % 4 = 0),
+        select distinct cast(substr(family, 2) as int) as i from fx_genes)),
     pr as (select locus_id, x.short, min({'w': abs(x.rank - y.rank), 'c': x.contig, 'l': least(x.rank, y.rank),
              'h': greatest(x.rank, y.rank)}) as m
            from lm join pos x on x.family = a join pos y on y.family = b and y.short = x.short and y.contig = x.contig
            where abs(x.rank - y.rank) <= 11 group by 1, 2)
     select locus_id, short, m.c as contig, m.l as lo, m.h as hi from pr""")
 def placements(t: Tables):
-    return placement_rows(t)
+    return L.placements(members(t), placed(t))
 
 
 def strain_table(t: Tables):
@@ -85,7 +94,7 @@ def cell_states(t: Tables):
 
 @query("W13_nearest_other_family", ctes("fx_genes", "fx_genome_hits") + RANKED + """
     , lm as (select concat('L', i) as locus_id, unnest([concat('F', i), concat('F', (i + 3) % 200)]) as family from (
-        select distinct cast(substr(family, 2) as int) as i from fx_genes) where i % 4 = 0),
+        select distinct cast(substr(family, 2) as int) as i from fx_genes)),
     c as (select locus_id, short, contig, family, rank from lm join pos using (family)),
     m as (select x.locus_id, x.short, x.contig, x.family, x.rank, min({'a': abs(y.rank - x.rank), 'd': y.rank - x.rank, 'n': y.family}) as m
           from c x join c y on x.locus_id = y.locus_id and x.short = y.short and x.contig = y.contig and x.family <> y.family
@@ -168,6 +177,33 @@ def dna_calls(t: Tables):
         "locus_id", "row_class").agg(F.count("*").alias("n_strains"))
 
 
+def dna_recount(t: Tables):
+    """Calls from the genome hits of each column's family; a gene's query part is 20 to 219."""
+    def make():
+        cols = column_rows(t).where(F.col("part") == "locus").select("locus_id", "col", "family")
+        h = t.genome_hits.select("family", "short", "pident", "qstart", "qend").join(cols, "family").drop("family")
+        g = cols.select("locus_id", "col", F.lit(20).alias("g_start"), F.lit(219).alias("g_end"))
+        return L.gene_coverage(h, g, 90, 0.5).select("locus_id", "short", "col", "call")
+    calls = t.once("calls", make)
+    return L.dna_recount(cell_rows(t), class_rows(t), mask_rows(t), calls, column_rows(t), strain_table(t))
+
+
+@query("M24_recounted_rows")
+def recounted_rows(t: Tables):
+    rows, _, _, summary = dna_recount(t)
+    return rows.groupBy("locus_id", "row_class").agg(F.count("*").alias("n_strains")).join(summary, "locus_id", "left")
+
+
+@query("M26_recounted_ranks")
+def recounted_ranks(t: Tables):
+    return dna_recount(t)[1]
+
+
+@query("W16_recounted_breakpoints")
+def recounted_breakpoints(t: Tables):
+    return dna_recount(t)[2]
+
+
 @query("M25_gene_coverage", ctes("fx_genome_hits") + """
     , g as (select family as locus_id, short, 1 as col, greatest(qstart, 20) as a, least(qend, 219) as b from fx_genome_hits
             where pident >= 90 and greatest(qstart, 20) <= least(qend, 219)),

@@ -8,7 +8,7 @@ from genespark.operators import annotate as A
 from genespark.operators import islands as I
 from genespark.operators import loci as L
 from genespark.plans import loci as LP
-from genespark.plans.islands import shown, with_lists
+from genespark.plans.islands import family_genes, rescue_hits, shown, with_lists
 from genespark.plans.pangenome import freq, genes, matrix, placed
 from genespark.plans.registry import ORACLES, query
 from genespark.plans.views import Tables, ctes
@@ -31,12 +31,11 @@ def sample_sheet(t: Tables):
 
 
 @query("S7_marker_families", ctes("fx_genes") + """
-    select distinct short, family from fx_genes where g_start % 11 = 0 and g_start % 3 <> 0""")
+    select distinct short, family from fx_genes where g_start % 3 <> 0""")
 def marker_families(t: Tables):
     m = F.concat_ws("|", "short", "protein_id", "contig", "family", "g_start")
-    hits = t.genes.where(F.col("g_start") % 11 == 0)
     e = F.when(F.col("g_start") % 3 != 0, "1e-9").otherwise("0.5")
-    text = hits.select(F.concat_ws("  ", m, F.lit("-"), F.lit("CAP"), F.lit("-"), e, F.lit("55.1")).alias("value"))
+    text = t.genes.select(F.concat_ws("  ", m, F.lit("-"), F.lit("CAP"), F.lit("-"), e, F.lit("55.1")).alias("value"))
     members = t.genes.select(m.alias("member"), "family").distinct()
     return TX.marker_families(text, members, 1e-5)
 
@@ -138,9 +137,8 @@ def island_rows(t: Tables):
     refs = t.strains.where(F.col("is_rep") == 0).select("short", num("short").alias("priority"))
     from genespark.session import materialize
     sh = materialize(I.display_strain(isl, mem, placed(t), refs))
-    none = t.genome_hits.where(F.col("pident") > 1000).select("short", "family", "contig", F.col("sstart").alias("start"))
     cols = materialize(I.column_order(mem, placed(t), sh))
-    return I.island_rows(isl, sh, cols, I.column_copy(mem, sh, genes(t), none), family_classes(t), I.haplotypes(mem, matrix(t), t.strains))
+    return I.island_rows(isl, sh, cols, I.column_copy(mem, sh, family_genes(t), rescue_hits(t)), family_classes(t), I.haplotypes(mem, matrix(t), t.strains))
 
 
 @query("J27_locus_rows")

@@ -232,10 +232,9 @@ HITS = """
            from q left join lens l using (family)),
     crowd as (select short, contig, st // 2000 as w, count(distinct family) as n from f1 where first = 'clear'
               group by 1, 2, 3),
-    lab as (select f1.*, case when first <> 'clear' then first when n >= 2 then 'hotspot' else 'accepted' end as outcome
+    lab as (select f1.*, case when first <> 'clear' then first when n >= 3 then 'hotspot' else 'accepted' end as outcome
             from f1 left join crowd c on c.short = f1.short and c.contig = f1.contig and c.w = st // 2000)"""
-# every fourth gene, so that rescue hits also fall between genes
-THIN = "select * from fx_genes where (g_start % 16) = 3"
+THIN = "select * from fx_genes"
 
 
 def qualifying(t: Tables):
@@ -245,8 +244,7 @@ def qualifying(t: Tables):
 def labelled(t: Tables):
     lengths = t.part.where(F.col("p_partkey") % 200 < 190).groupBy(
         F.concat(F.lit("F"), F.col("p_partkey") % 200).alias("family")).agg((F.min("p_size") * 9).alias("length"))
-    thin = genes(t).where(F.col("start") % 16 == 3)
-    return G.rescue_filter(qualifying(t), thin, lengths, hotspot_families=2)
+    return G.rescue_filter(qualifying(t), genes(t), lengths)
 
 
 @query("A16_rescue_filter", ctes("fx_genome_hits", "fx_genes", thin=THIN) + HITS
