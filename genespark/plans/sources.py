@@ -123,7 +123,7 @@ def gene_index(t: Tables):
 @query("S14_wide_matrix", ctes("fx_presence") + """
     select family, short, 'present' as state, copies from fx_presence""")
 def wide_matrix(t: Tables):
-    strains = [f"S{i + 1}" for i in range(t.strains.count())]  # a wide table names its strains in its header
+    strains = [f"S{i}" for i in range(t.strains.count())]  # a wide table names its strains in its header
     wide = t.presence.groupBy("family").pivot("short", strains).agg(F.first(F.lit("present"))).fillna("absent")
     some = t.genes.select("family").distinct()
     return TB.with_copies(TB.wide_matrix(wide, some), t.presence)
@@ -137,7 +137,7 @@ def distances(t: Tables):
     i = F.substring("short", 2, 9).cast("int")
     base = t.strains.select("short", i.alias("i"))
     cell = lambda j: (F.when(F.col("i") == j, 0.5).otherwise(F.abs(F.col("i") - j) + F.when(F.col("i") < j, 0.01).otherwise(0.0)))
-    wide = base.select(F.col("short").alias("#query"), *[cell(j + 1).alias(f"S{j + 1}") for j in range(base.count())])
+    wide = base.select(F.col("short").alias("#query"), *[cell(j).alias(f"S{j}") for j in range(base.count())])
     return TB.distances(wide).withColumn("dist", F.round("dist", 6))
 
 
