@@ -10,7 +10,8 @@ where n counts documents of N. It is 1 where t is never seen without e: reading
 then tells as much as reading e. A pair at or above ``DISCLOSURE`` must also be no
 chance: of c differing documents with e, s have t, and (exp(1) c n(t) / (s N)) ** s,
 a bound on the chance of that, times the number of pairs tested must not exceed
-``CHANCE``. Two or three documents are enough for a rare term and a rare entity.
+``CHANCE``. ``APART`` documents, at least, are enough for a rare term and a rare
+entity; two may be a text and its copy.
 Documents differ if the text around e does (``AROUND`` code points on each side):
 copies count once, and where most of the documents with both have an equal
 surrounding, nothing is said, for they are near copies.
@@ -29,6 +30,7 @@ from genespark.llm.common import row_key, whole_text
 from genespark.session import materialize
 
 DISCLOSURE = 0.8
+APART = 3  # differing documents with both a term and an entity, at least
 AROUND = 64  # code points before and after an entity that tell copies from other documents
 CHANCE = 0.05  # that any of the pairs tested is flagged by chance, at most
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -142,7 +144,7 @@ def disclosing_terms(rows: DataFrame, mentions: DataFrame, disclosure: float = D
     """
     total = rows.count()
     known = mentions.groupBy("entity").agg(F.countDistinct("context").alias("n_contexts"), F.countDistinct("_doc").alias("n_entity")).where(
-        (F.col("n_contexts") > 1) & (F.col("n_entity") < total))
+        (F.col("n_contexts") >= APART) & (F.col("n_entity") < total))
     asked = materialize(mentions.join(known, "entity"))
     words = rows.select("_doc", F.explode(_terms()).alias("term"))
     mine = materialize(rows.join(asked.select("_doc").distinct(), "_doc", "left_semi").select("_doc", F.explode(_terms()).alias("term")).distinct())
@@ -150,13 +152,16 @@ def disclosing_terms(rows: DataFrame, mentions: DataFrame, disclosure: float = D
     n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(mine.select("term").distinct(), "term")
     n_term = materialize(n_term)
     rare = F.col("n_term") <= F.pow(F.col("n_entity"), F.lit(disclosure)) * float(total) ** (1 - disclosure) * (1 + 1e-9)
-    pairs = materialize(mine.join(n_term, "term").join(asked, "_doc").where(rare).groupBy("entity", "term", "n_term", "n_entity", "n_contexts").agg(
-        F.countDistinct("_doc").alias("n_both"), F.countDistinct("context").alias("n_apart")))
+    # A document has one row per entity, and per term.
+    met = mine.join(n_term, "term").join(asked, "_doc").where(rare).groupBy("entity", "term", "context").agg(
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("n_term", "n_entity", "n_contexts")])
+    pairs = materialize(met.groupBy("entity", "term").agg(
+        F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_apart"), *[F.first(c).alias(c) for c in ("n_term", "n_entity", "n_contexts")]))
     tested = pairs.count()
     share = F.log(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(F.lit(total) / F.col("n_entity"))
     s = F.col("n_apart")
     by_chance = s * F.log(math.e * F.col("n_contexts") * F.col("n_term") / (s * total)) + math.log(max(tested, 1))
-    return pairs.where((share >= disclosure - 1e-12) & (s > 1) & (2 * s >= F.col("n_both")) & (by_chance <= math.log(chance))).select("entity", "term")
+    return pairs.where((share >= disclosure - 1e-12) & (s >= APART) & (2 * s >= F.col("n_both")) & (by_chance <= math.log(chance))).select("entity", "term")
 
 
 def private_spans(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:

@@ -30,7 +30,7 @@ def plain(texts):
     tested = []
     for e, docs in places.items():
         apart = len({context[i] for i in docs})
-        if apart < 2 or len(docs) == n:
+        if apart < 3 or len(docs) == n:
             continue
         for t in {t for i in docs for t in terms[i]}:
             if count[t] <= len(docs) ** 0.8 * n**0.2 * (1 + 1e-9):
@@ -39,7 +39,7 @@ def plain(texts):
     out = set()
     for t, n_e, c, both, s in tested:
         share = math.log(n * both / (count[t] * n_e)) / math.log(n / n_e)
-        if share >= 0.8 - 1e-12 and s > 1 and 2 * s >= both and s * math.log(math.e * c * count[t] / (s * n)) + math.log(len(tested)) <= math.log(0.05):
+        if share >= 0.8 - 1e-12 and s >= 3 and 2 * s >= both and s * math.log(math.e * c * count[t] / (s * n)) + math.log(len(tested)) <= math.log(0.05):
             out.add(t)
     return out
 
