@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.llm.common import row_key, whole_text
@@ -174,15 +174,19 @@ def private_spans(docs: DataFrame, disclosure: float = DISCLOSURE, chance: float
     rows = materialize(entities(docs.withColumn("_doc", row_key())))
     mentions = materialize(_mentions(rows))
     flagged = materialize(disclosing_terms(rows, mentions, disclosure, chance).select("term").distinct())
-    met = rows.select("_doc", F.explode(_terms()).alias("term")).join(flagged, "term").groupBy("_doc").agg(F.collect_set("term").alias("_flagged"))
-    found = rows.join(materialize(met), "_doc", "left")
-    mask = F.when(F.col("_flagged").isNotNull(), _masked())
+    met = materialize(rows.select("_doc", F.explode(_terms()).alias("term")).join(flagged, "term").distinct())
+    # Places are running sums over a text's words, row by row: a long text would make lists that grow by copies.
+    texts = rows.join(met.select("_doc").distinct(), "_doc", "left_semi").select("_doc", _masked().alias("_mask")).distinct()
+    words = texts.select("_doc", F.posexplode(F.arrays_zip(
+        F.regexp_extract_all("_mask", F.lit(TERM), F.lit(0)).alias("word"), F.split("_mask", TERM, -1).alias("gap"))).alias("_at", "_w")).where(
+        F.col("_w.word").isNotNull())
+    upto = Window.partitionBy("_doc").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    ended = words.select("_doc", F.xxhash64(F.lower("_w.word")).alias("term"), F.length("_w.word").alias("_n"),
+                         F.sum(F.length("_w.word") + F.length("_w.gap")).over(upto).cast("int").alias("end"))
+    span = F.struct((F.col("end") - F.col("_n")).alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("end"))
+    spans = ended.join(met, ["_doc", "term"], "left_semi").groupBy("_doc").agg(F.array_sort(F.collect_list(span)).alias("_terms"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    found = found.withColumn("_mask", mask).withColumns({"_m": F.regexp_extract_all("_mask", F.lit(TERM), F.lit(0)), "_g": F.split("_mask", TERM, -1)})
-    spans = F.transform(
-        F.filter(_placed("_m", "_g"), lambda s: F.array_contains("_flagged", F.xxhash64(F.lower(s["value"])))),
-        lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), s["end"].alias("end")))
-    return found.withColumn("_terms", F.coalesce(F.when(F.col("_flagged").isNotNull(), spans), none)).select(*columns, "_entities", "_terms")
+    return rows.join(materialize(spans), "_doc", "left").withColumn("_terms", F.coalesce("_terms", none)).select(*columns, "_entities", "_terms")
 
 
 def _plain(spans: str) -> Column:
