@@ -1,4 +1,4 @@
-"""Locus queries: the candidate loci of the islands, followed across all strains; placements also of family pairs."""
+"""Locus queries: loci of two families each, one for every family, followed across all strains."""
 
 from __future__ import annotations
 
@@ -22,22 +22,8 @@ def members(t: Tables):
         "locus_id", F.concat(F.lit("F"), "f").alias("family"))
 
 
-def island_loci(t: Tables):
-    def make():
-        from genespark.operators.graph import group_loci
-        from genespark.plans.islands import with_lists
-        _, isl, mem = with_lists(t)
-        mem = t.once("island_members", lambda: mem)
-        roots = t.once("locus_roots", lambda: group_loci(mem).select("island_id", F.col("root").alias("locus_id")))
-        carriers = roots.join(isl.select("island_id", "n_strains"), "island_id").groupBy("locus_id").agg(F.sum("n_strains").alias("carriers"))
-        size = mem.groupBy(F.col("island_id").alias("locus_id")).agg(F.count("*").alias("size"))
-        top = S.candidate_loci(carriers.join(size, "locus_id"), t.strains.count(), strata=(0.2, 0.5)).select("locus_id")
-        return mem.withColumnRenamed("island_id", "locus_id").join(top, "locus_id", "left_semi").select("locus_id", "family")
-    return t.once("island_loci", make)
-
-
 def placement_rows(t: Tables):
-    return t.once("placements", lambda: L.placements(island_loci(t), placed(t)))
+    return t.once("placements", lambda: L.placements(members(t), placed(t)))
 
 
 @query("W12_placements", ctes("fx_genes", "fx_genome_hits") + RANKED + """
