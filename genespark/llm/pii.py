@@ -12,9 +12,10 @@ chance: of c differing documents with e, s have t, and (exp(1) c n(t) / (s N)) *
 a bound on the chance of that, times the number of pairs tested must not exceed
 ``CHANCE``. ``APART`` documents, at least, are enough for a rare term and a rare
 entity; two may be a text and its copy.
-Documents differ if the text around e does (``AROUND`` code points on each side):
-copies count once, and where most of the documents with both have an equal
-surrounding, nothing is said, for they are near copies.
+Documents differ if the text before e and that after it do (``AROUND`` code points):
+they are as many as there are different ones on the side that has fewer. So copies
+count once, and where most of the documents with both have an equal side, nothing
+is said, for they are near copies.
 A disclosing term is removed wherever it stands, in every document; entities are
 generalised to their kind.
 """
@@ -126,13 +127,15 @@ def _terms() -> Column:
 
 
 def _mentions(rows: DataFrame) -> DataFrame:
-    """(_doc, entity, context), one row per document and entity; ``context`` is a hash of what stands around it."""
+    """(_doc, entity, before, after), one row per document and entity, with hashes of what stands around its first mention."""
     e = F.col("_e")
     name = F.when(e["kind"] == 0, F.lower(e["value"])).when(e["kind"] == 1, e["value"]).otherwise(_digits(e["value"]))
     left = F.greatest(e["start"] - AROUND, F.lit(0))
-    context = F.xxhash64(F.substring("text", left + 1, e["start"] - left), F.substring("text", e["end"] + 1, F.lit(AROUND)))
+    around = F.struct(e["start"].alias("at"), F.xxhash64(F.substring("text", left + 1, e["start"] - left)).alias("before"),
+                      F.xxhash64(F.substring("text", e["end"] + 1, F.lit(AROUND))).alias("after"))
     return rows.where(F.size("_entities") > 0).select("_doc", "text", F.explode("_entities").alias("_e")).select(
-        "_doc", F.xxhash64(e["kind"], name).alias("entity"), context.alias("context")).groupBy("_doc", "entity").agg(F.min("context").alias("context"))
+        "_doc", F.xxhash64(e["kind"], name).alias("entity"), around.alias("_a")).groupBy("_doc", "entity").agg(F.min("_a").alias("_a")).select(
+        "_doc", "entity", "_a.before", "_a.after")
 
 
 def disclosing_terms(rows: DataFrame, mentions: DataFrame, disclosure: float = DISCLOSURE, chance: float = CHANCE) -> DataFrame:
@@ -143,7 +146,8 @@ def disclosing_terms(rows: DataFrame, mentions: DataFrame, disclosure: float = D
     so a document's frequent terms are never paired with its entities.
     """
     total = rows.count()
-    known = mentions.groupBy("entity").agg(F.countDistinct("context").alias("n_contexts"), F.countDistinct("_doc").alias("n_entity")).where(
+    apart = F.least(F.countDistinct("before"), F.countDistinct("after"))
+    known = mentions.groupBy("entity").agg(apart.alias("n_contexts"), F.count(F.lit(1)).alias("n_entity")).where(
         (F.col("n_contexts") >= APART) & (F.col("n_entity") < total))
     asked = materialize(mentions.join(known, "entity"))
     words = rows.select("_doc", F.explode(_terms()).alias("term"))
@@ -153,10 +157,8 @@ def disclosing_terms(rows: DataFrame, mentions: DataFrame, disclosure: float = D
     n_term = materialize(n_term)
     rare = F.col("n_term") <= F.pow(F.col("n_entity"), F.lit(disclosure)) * float(total) ** (1 - disclosure) * (1 + 1e-9)
     # A document has one row per entity, and per term.
-    met = mine.join(n_term, "term").join(asked, "_doc").where(rare).groupBy("entity", "term", "context").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("n_term", "n_entity", "n_contexts")])
-    pairs = materialize(met.groupBy("entity", "term").agg(
-        F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_apart"), *[F.first(c).alias(c) for c in ("n_term", "n_entity", "n_contexts")]))
+    pairs = materialize(mine.join(n_term, "term").join(asked, "_doc").where(rare).groupBy("entity", "term", "n_term", "n_entity", "n_contexts").agg(
+        F.count(F.lit(1)).alias("n_both"), apart.alias("n_apart")))
     tested = pairs.count()
     share = F.log(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.log(F.lit(total) / F.col("n_entity"))
     s = F.col("n_apart")

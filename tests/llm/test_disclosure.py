@@ -27,15 +27,16 @@ def plain(texts):
         for m in MAIL.finditer(t):  # one per text here
             places[m[0].lower()].add(i)
             context[i] = (t[max(0, m.start() - 64):m.start()], t[m.end():m.end() + 64])
+    differ = lambda docs: min(len({context[i][side] for i in docs}) for side in (0, 1))
     tested = []
     for e, docs in places.items():
-        apart = len({context[i] for i in docs})
+        apart = differ(docs)
         if apart < 3 or len(docs) == n:
             continue
         for t in {t for i in docs for t in terms[i]}:
             if count[t] <= len(docs) ** 0.8 * n**0.2 * (1 + 1e-9):
                 met = [i for i in docs if t in terms[i]]
-                tested.append((t, len(docs), apart, len(met), len({context[i] for i in met})))
+                tested.append((t, len(docs), apart, len(met), differ(met)))
     out = set()
     for t, n_e, c, both, s in tested:
         share = math.log(n * both / (count[t] * n_e)) / math.log(n / n_e)
